@@ -19,8 +19,10 @@ from playtrail.columns import (
 )
 from playtrail.validate import require_columns, require_row_count
 
-# Rows of chosen sessions up to which they are sent to every task.
-MAX_BROADCAST_SESSIONS = 10_000
+# Number of chosen sessions up to which their keys are sent to every task.
+MAX_BROADCAST_SESSIONS = 100_000
+# Number of them up to which an event is compared with all its user's chosen sessions.
+MAX_SPANS = 1_000
 
 
 def top_n(df: DataFrame, by: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -59,7 +61,7 @@ def events_of_sessions(
 
 
 def events_within(events: DataFrame, chosen: DataFrame, user_col: str = USER) -> DataFrame:
-    """Events that fall inside one of at most ``MAX_BROADCAST_SESSIONS`` sessions.
+    """Events that fall inside one of at most ``MAX_SPANS`` sessions.
 
     A session owns exactly its user's events between its bounds, so events need
     no session number, and therefore no shuffle, to be told in from out. The

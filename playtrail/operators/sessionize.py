@@ -25,11 +25,11 @@ HOT_CELL_ROWS = 1_000_000
 # The hottest cells that are split. Their list is broadcast, so this is its size bound;
 # cells beyond it take the ordinary way, which gives the same rows in larger tasks.
 MAX_HOT_CELLS = 16_384
-HOT_LANES = 4_096
 
 _SEED = "__seed"
 _SECOND = "__second"
 _LANE = "__lane"
+_SETTLED = "__settled"
 _HOT_USER = "__hot_user"
 _HOT_CELL = "__hot_cell"
 
@@ -60,15 +60,16 @@ def _lag_from_seed(rows: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFr
 def _trace_hot(rows: DataFrame, user_col: str) -> DataFrame:
     """Previous timestamps in the hot cells, however dense or full of copies they are.
 
-    The rows of a cell are first spread over lanes by the map task they come
-    from. A row whose timestamp its lane has already shown (or that has none)
+    The rows of a cell first keep to lanes, one for each map task that read
+    them; a retried task reads the same rows again and gives them the same
+    lane. A row whose timestamp its lane has already shown (or that has none)
     has that same timestamp before it and is settled. The others, at most one
     per lane and distinct instant, meet again by second.
     """
     rows = rows.withColumns(
         {
             _SECOND: F.unix_timestamp(TIMESTAMP),
-            _LANE: F.pmod(F.spark_partition_id(), F.lit(HOT_LANES)),
+            _LANE: F.spark_partition_id(),
         }
     )
 
@@ -87,16 +88,12 @@ def _trace_hot(rows: DataFrame, user_col: str) -> DataFrame:
     )
 
     in_lane = Window.partitionBy(user_col, CELL, _LANE).orderBy(TIMESTAMP)
-    settled = F.col("__in_lane").eqNullSafe(F.col(TIMESTAMP))
-    rows = (
-        rows.withColumn("__in_lane", F.lag(TIMESTAMP).over(in_lane))
-        .withColumn("__settled", settled)
-        .withColumn(_LANE, F.when(F.col("__settled"), F.col(_LANE)).otherwise(F.lit(-1)))
-    )
+    rows = rows.withColumn(
+        _SETTLED, F.lag(TIMESTAMP).over(in_lane).eqNullSafe(F.col(TIMESTAMP))
+    ).withColumn(_LANE, F.when(F.col(_SETTLED), F.col(_LANE)).otherwise(F.lit(-1)))
     traced = _lag_from_seed(rows, seeds, [user_col, _SECOND, _LANE])
     return traced.withColumn(
-        PREVIOUS,
-        F.when(F.col("__settled"), F.col(TIMESTAMP)).otherwise(F.col(PREVIOUS)),
+        PREVIOUS, F.when(F.col(_SETTLED), F.col(TIMESTAMP)).otherwise(F.col(PREVIOUS))
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playtrail.columns import SESSION_KEY, SONG_BY_ID
 from playtrail.operators.metrics import session_metrics, session_table
 from playtrail.operators.ranking import (
-    MAX_BROADCAST_SESSIONS,
+    MAX_SPANS,
     events_of_sessions,
     events_within,
     longest_sessions,
@@ -23,11 +23,11 @@ def events_in_longest_sessions(
     """Events of the longest sessions, straight from the event table.
 
     Two passes over the events, of which only the narrow first one shuffles, as
-    long as the chosen sessions are few enough to broadcast. More of them than
-    that are matched by session key against the sessionized events.
+    long as few sessions are wanted. More of them are matched by session key
+    against the sessionized events.
     """
     chosen = longest_sessions(session_table(events, threshold_minutes), session_number)
-    if session_number <= MAX_BROADCAST_SESSIONS:
+    if session_number <= MAX_SPANS:
         return events_within(events, chosen)
     numbered = sessionize(events, threshold_minutes)
     return events_of_sessions(numbered, chosen, at_most=session_number).select(

@@ -61,7 +61,6 @@ def start_session_sink(
     sessions: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Append finished sessions to Parquet; rerun with the same folders to take up new data."""
-    sessions.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     writer = (
         sessions.writeStream.format("parquet")
         .outputMode("append")
@@ -70,7 +69,14 @@ def start_session_sink(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    # A query takes the settings that hold when it starts.
+    conf = sessions.sparkSession.conf
+    before = conf.get(MERGE_BEFORE_SHUFFLE)
+    conf.set(MERGE_BEFORE_SHUFFLE, "true")
+    try:
+        return writer.start()
+    finally:
+        conf.set(MERGE_BEFORE_SHUFFLE, before)
 
 
 def sessions_by_window(

@@ -1,0 +1,44 @@
+"""The ten-event sample and what is expected of it."""
+
+from datetime import datetime
+
+
+def at(text):
+    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+
+
+def _event(user, instant, artist, track, song):
+    return (
+        user,
+        at(instant),
+        f"musicbrainz-artist-id-{artist}",
+        f"artist-name-{artist}",
+        track and f"musicbrainztrack-id-{track}",
+        f"song-name-{song}",
+    )
+
+
+# The sample events.
+EVENTS = [
+    _event("user-1", "2024-04-21 00:00:00", 1, 1, 1),
+    _event("user-1", "2024-04-21 00:20:00", 1, None, 1),
+    _event("user-1", "2024-04-21 00:40:00", 1, None, 1),
+    _event("user-1", "2024-04-21 01:00:00", 1, None, 1),
+    _event("user-1", "2024-04-21 01:20:00", 2, None, 1),
+    _event("user-1", "2024-04-22 00:00:00", 3, 3, 3),
+    _event("user-1", "2024-04-22 00:20:01", 3, 3, 3),
+    _event("user-2", "2024-04-21 00:00:00", 4, 4, 4),
+    _event("user-2", "2024-04-21 00:20:00", 4, 5, 4),
+    _event("user-2", "2024-04-21 00:40:00", 4, 5, 4),
+]
+
+GAPS = [None, 1200, 1200, 1200, 1200, 81600, 1201, None, 1200, 1200]
+FLAGS = [1, 0, 0, 0, 0, 1, 1, 1, 0, 0]
+SESSION_IDS = [1, 1, 1, 1, 1, 2, 3, 1, 1, 1]
+
+METRICS = [
+    ("user-1", 1, at("2024-04-21 00:00:00"), at("2024-04-21 01:20:00"), 4800),
+    ("user-1", 2, at("2024-04-22 00:00:00"), at("2024-04-22 00:00:00"), 0),
+    ("user-1", 3, at("2024-04-22 00:20:01"), at("2024-04-22 00:20:01"), 0),
+    ("user-2", 1, at("2024-04-21 00:00:00"), at("2024-04-21 00:40:00"), 2400),
+]

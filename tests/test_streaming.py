@@ -1,0 +1,110 @@
+from datetime import datetime, timedelta
+
+import pytest
+import sample
+from sample import at
+from test_sessionize import NARROW, random_rows
+
+from playtrail.columns import EVENT_SCHEMA
+from playtrail.operators.metrics import session_table
+from playtrail.streaming.sessions import (
+    MERGE_BEFORE_SHUFFLE,
+    sessions_by_window,
+    start_session_sink,
+    stream_sessions,
+)
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("minutes", [1, 20, 300])
+def test_session_windows_agree_with_session_table(spark, minutes):
+    rows = [r for r in random_rows(21) if r[0] and r[1]]
+    events = spark.createDataFrame(rows, NARROW)
+    windows = sessions_by_window(events, minutes)
+    table = session_table(events, minutes).select(*windows.columns)
+    assert rows_of(windows) == rows_of(table)
+
+
+def test_session_windows_leave_out_undated_events(spark):
+    rows = [("u", None), ("u", at("2024-01-01 00:00:00"))]
+    sessions = sessions_by_window(spark.createDataFrame(rows, NARROW))
+    assert [r.session_duration for r in sessions.collect()] == [0]
+
+
+class Arrivals:
+    """An event folder that grows, and the stream that reads it run by run."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, folder
+        self.inbox, self.out, self.state = (str(folder / n) for n in ("in", "out", "state"))
+
+    def add(self, rows):
+        self.spark.createDataFrame(rows, NARROW).coalesce(1).write.mode("append").parquet(self.inbox)
+
+    def run(self, minutes=20, lateness="10 minutes"):
+        events = self.spark.readStream.schema(NARROW).parquet(self.inbox)
+        sessions = stream_sessions(events, minutes, lateness)
+        query = start_session_sink(sessions, self.out, self.state)
+        query.awaitTermination()
+        return rows_of(self.spark.read.schema(sessions.schema).parquet(self.out))
+
+
+def test_sessions_are_emitted_once_complete(spark, tmp_path):
+    arrivals = Arrivals(spark, tmp_path)
+    day = datetime(2024, 1, 1)
+    first = [("a", day), ("a", day + timedelta(minutes=20)), ("b", day + timedelta(minutes=5))]
+    arrivals.add(first)
+    assert arrivals.run() == []
+
+    # Continues a's session across runs, and moves time past b's.
+    arrivals.add([("a", day + timedelta(minutes=40))])
+    assert arrivals.run() == [
+        ("b", day + timedelta(minutes=5), day + timedelta(minutes=5), 0)
+    ]
+
+    arrivals.add([("c", day + timedelta(hours=5))])
+    assert arrivals.run() == [
+        ("a", day, day + timedelta(minutes=40), 2400),
+        ("b", day + timedelta(minutes=5), day + timedelta(minutes=5), 0),
+    ]
+
+
+def test_late_events_are_left_out(spark, tmp_path):
+    arrivals = Arrivals(spark, tmp_path)
+    day = datetime(2024, 1, 1)
+    arrivals.add([("a", day), ("z", day + timedelta(hours=5))])
+    arrivals.run()
+    arrivals.add([("a", day + timedelta(minutes=1)), ("z", day + timedelta(hours=9))])
+    arrivals.run()
+    arrivals.add([("z", day + timedelta(hours=20))])
+    sessions = [r for r in arrivals.run() if r[0] == "a"]
+    assert sessions == [("a", day, day, 0)]
+
+
+def test_whole_seconds_count_in_the_stream(spark, tmp_path):
+    arrivals = Arrivals(spark, tmp_path)
+    start = datetime(2024, 1, 1)
+    end = start + timedelta(minutes=20, microseconds=999_000)
+    arrivals.add([("a", start), ("a", end), ("b", start + timedelta(days=1))])
+    assert arrivals.run() == [("a", start, end, 1200)]
+
+
+def test_settings_are_put_back(spark, tmp_path):
+    before = spark.conf.get(MERGE_BEFORE_SHUFFLE)
+    arrivals = Arrivals(spark, tmp_path)
+    arrivals.add([("a", datetime(2024, 1, 1))])
+    arrivals.run()
+    assert spark.conf.get(MERGE_BEFORE_SHUFFLE) == before
+
+
+def test_streamed_sample(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    late = ("user-9", at("2024-04-25 00:00:00"), None, "a", "t", "s")
+    spark.createDataFrame([*sample.EVENTS, late], EVENT_SCHEMA).coalesce(1).write.parquet(inbox)
+    sessions = stream_sessions(spark.readStream.schema(EVENT_SCHEMA).parquet(inbox))
+    start_session_sink(sessions, str(tmp_path / "out"), str(tmp_path / "s")).awaitTermination()
+    found = rows_of(spark.read.schema(sessions.schema).parquet(str(tmp_path / "out")))
+    assert found == sorted((m[0], *m[2:]) for m in sample.METRICS)

@@ -8,6 +8,7 @@ from playtrail.functions.timing import cell_start, seconds_between, starts_sessi
 from playtrail.operators.cells import (
     CARRY,
     CELL,
+    FIRST,
     LAST,
     ROWS,
     cell_width,
@@ -57,43 +58,43 @@ def _lag_from_seed(rows: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFr
     )
 
 
-def _trace_hot(rows: DataFrame, user_col: str) -> DataFrame:
+def _trace_hot(rows: DataFrame, instants: DataFrame, user_col: str) -> DataFrame:
     """Previous timestamps in the hot cells, however dense or full of copies they are.
 
     The rows of a cell first keep to lanes, one for each map task that read
     them; a retried task reads the same rows again and gives them the same
     lane. A row whose timestamp its lane has already shown (or that has none)
     has that same timestamp before it and is settled. The others, at most one
-    per lane and distinct instant, meet again by second.
+    per lane and distinct instant, meet again by second. ``instants`` are the
+    same rows, for finding what precedes each second.
     """
     rows = rows.withColumns(
-        {
-            _SECOND: F.unix_timestamp(TIMESTAMP),
-            _LANE: F.spark_partition_id(),
-        }
+        {_SECOND: F.unix_timestamp(TIMESTAMP), _LANE: F.spark_partition_id()}
     )
-
-    per_second = Window.partitionBy(user_col, CELL).orderBy(_SECOND)
+    per_second = Window.partitionBy(CELL, user_col).orderBy(_SECOND)
     seeds = (
-        rows.filter(F.col(_SECOND).isNotNull())
-        .groupBy(user_col, CELL, _SECOND)
-        .agg(F.max(TIMESTAMP).alias(LAST), F.max(CARRY).alias(CARRY))
+        instants.filter(F.col(TIMESTAMP).isNotNull())
+        .groupBy(user_col, CELL, F.unix_timestamp(TIMESTAMP).alias(_SECOND))
+        .agg(F.max(TIMESTAMP).alias(LAST))
         .select(
             user_col,
             _SECOND,
             F.lit(-1).alias(_LANE),
-            F.coalesce(F.lag(LAST).over(per_second), F.col(CARRY)).alias(TIMESTAMP),
+            F.lag(LAST).over(per_second).alias(TIMESTAMP),
             F.lit(None).cast("int").alias(SESSION),
         )
     )
 
-    in_lane = Window.partitionBy(user_col, CELL, _LANE).orderBy(TIMESTAMP)
+    in_lane = Window.partitionBy(CELL, _LANE, user_col).orderBy(TIMESTAMP)
     rows = rows.withColumn(
         _SETTLED, F.lag(TIMESTAMP).over(in_lane).eqNullSafe(F.col(TIMESTAMP))
     ).withColumn(_LANE, F.when(F.col(_SETTLED), F.col(_LANE)).otherwise(F.lit(-1)))
-    traced = _lag_from_seed(rows, seeds, [user_col, _SECOND, _LANE])
+    traced = _lag_from_seed(rows, seeds, [_SECOND, _LANE, user_col])
     return traced.withColumn(
-        PREVIOUS, F.when(F.col(_SETTLED), F.col(TIMESTAMP)).otherwise(F.col(PREVIOUS))
+        PREVIOUS,
+        F.when(F.col(_SETTLED), F.col(TIMESTAMP)).otherwise(
+            F.coalesce(F.col(PREVIOUS), F.col(CARRY))
+        ),
     )
 
 
@@ -104,31 +105,35 @@ def _trace(events: DataFrame, user_col: str, limit: float, hot_cell_rows: int) -
     width = cell_width(limit, at_most=MAX_CELL_SECONDS)
     in_cells = events.select(*kept, cell_start(F.col(TIMESTAMP), width).alias(CELL))
 
-    cells = number_cells(summarize_cells(events, user_col, width), user_col, limit)
+    summary = summarize_cells(events, user_col, width)
+    cells = number_cells(summary, user_col, limit)
     seeds = cells.select(user_col, CELL, F.col(CARRY).alias(TIMESTAMP), SESSION)
+    # Sorting by every column of the summary lets this list share its shuffle.
     hot = (
-        cells.filter(F.col(ROWS) > hot_cell_rows)
-        .orderBy(F.desc(ROWS), user_col, CELL)
+        summary.filter(F.col(ROWS) > hot_cell_rows)
+        .orderBy(F.desc(ROWS), user_col, FIRST, LAST)
         .limit(MAX_HOT_CELLS)
-        .select(
-            F.col(user_col).alias(_HOT_USER), F.col(CELL).alias(_HOT_CELL), CARRY, SESSION
-        )
+        .select(F.col(user_col).alias(_HOT_USER), F.col(CELL).alias(_HOT_CELL))
+    )
+    same_cell = F.col(user_col).eqNullSafe(F.col(_HOT_USER)) & F.col(CELL).eqNullSafe(
+        F.col(_HOT_CELL)
+    )
+    ordinary = in_cells.join(F.broadcast(hot), same_cell, "left_anti").withColumn(
+        SESSION, F.lit(None).cast("int")
+    )
+    hot_cells = cells.join(F.broadcast(hot), same_cell, "left_semi").select(
+        F.col(user_col).alias(_HOT_USER), F.col(CELL).alias(_HOT_CELL), CARRY, SESSION
+    )
+    crowded = _trace_hot(
+        in_cells.join(F.broadcast(hot_cells), same_cell).drop(_HOT_USER, _HOT_CELL),
+        in_cells.join(F.broadcast(hot), same_cell, "left_semi"),
+        user_col,
     )
-
-    # One join serves both ways, so that they share the shuffle of the cells.
-    routed = in_cells.join(
-        F.broadcast(hot),
-        F.col(user_col).eqNullSafe(F.col(_HOT_USER))
-        & F.col(CELL).eqNullSafe(F.col(_HOT_CELL)),
-        "left",
-    ).drop(_HOT_USER, _HOT_CELL)
-    ordinary = routed.filter(F.col(SESSION).isNull()).drop(CARRY)
-    crowded = routed.filter(F.col(SESSION).isNotNull())
     columns = [*kept, PREVIOUS, SESSION]
     return (
-        _lag_from_seed(ordinary, seeds, [user_col, CELL])
+        _lag_from_seed(ordinary, seeds, [CELL, user_col])
         .select(*columns)
-        .unionByName(_trace_hot(crowded, user_col).select(*columns))
+        .unionByName(crowded.select(*columns))
     )
 
 

@@ -12,6 +12,15 @@ def seconds_between(earlier: Column, later: Column) -> Column:
     return F.unix_timestamp(later) - F.unix_timestamp(earlier)
 
 
+def whole_second(instant: Column) -> Column:
+    """``instant`` without its fraction, as a zoned timestamp free of the session's zone rules.
+
+    A timestamp without zone counts as UTC here, so that clock changes in the
+    session's zone do not stretch or shrink gaps.
+    """
+    return F.timestamp_seconds(F.unix_timestamp(instant))
+
+
 def cell_start(instant: Column, width: int) -> Column:
     """First second of the ``width``-second time cell that holds ``instant``."""
     second = F.unix_timestamp(instant)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playtrail.columns import DURATION, SESSION_END, SESSION_START, TIMESTAMP, USER
-from playtrail.functions.timing import seconds_between
+from playtrail.functions.timing import seconds_between, whole_second
 from playtrail.operators.cells import CELL, FIRST, LAST, cell_width, summarize_cells
 from playtrail.validate import require_columns, threshold_seconds
 
@@ -43,13 +43,8 @@ def stream_sessions(
     """
     require_columns(events, [TIMESTAMP, user_col])
     gap = f"{_whole_seconds(threshold_minutes)} seconds"
-    instant = F.col(TIMESTAMP).cast("timestamp")
     bounds = (
-        events.select(
-            user_col,
-            instant.alias(TIMESTAMP),
-            F.date_trunc("second", instant).alias(_SECOND),
-        )
+        events.select(user_col, TIMESTAMP, whole_second(F.col(TIMESTAMP)).alias(_SECOND))
         .withWatermark(_SECOND, lateness)
         .groupBy(user_col, F.session_window(_SECOND, gap).alias(_WINDOW))
         .agg(F.min(TIMESTAMP).alias(SESSION_START), F.max(TIMESTAMP).alias(SESSION_END))
@@ -88,10 +83,15 @@ def sessions_by_window(
     cells = summarize_cells(events, user_col, cell_width(seconds)).filter(
         F.col(CELL).isNotNull()
     )
-    first = F.date_trunc("second", F.col(FIRST)).cast("timestamp")
     open_for = F.make_interval(secs=seconds_between(F.col(FIRST), F.col(LAST)) + seconds)
     bounds = (
-        cells.select(user_col, FIRST, LAST, first.alias(_SECOND), open_for.alias("__open"))
+        cells.select(
+            user_col,
+            FIRST,
+            LAST,
+            whole_second(F.col(FIRST)).alias(_SECOND),
+            open_for.alias("__open"),
+        )
         .groupBy(user_col, F.session_window(_SECOND, F.col("__open")).alias(_WINDOW))
         .agg(F.min(FIRST).alias(SESSION_START), F.max(LAST).alias(SESSION_END))
     )

@@ -210,3 +210,41 @@ def test_timestamps_without_zone(spark):
     assert [r.session_id for r in result.orderBy("user_id", "timestamp").collect()] == (
         sample.SESSION_IDS
     )
+
+
+def test_result_does_not_depend_on_adaptive_execution(spark):
+    rows = random_rows(7)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert traced(spark, rows) == expected(rows)
+        assert traced(spark, rows, hot_cell_rows=6) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_copies_reach_tasks_in_the_shares_they_were_read(spark, tmp_path):
+    """No task of the crowded part takes in more copies than one map task holds."""
+    midnight = datetime(2024, 1, 1)
+    rows = [("hot", midnight)] * 4_000 + [("u", midnight + timedelta(minutes=i)) for i in range(99)]
+    path = str(tmp_path / "events")
+    spark.createDataFrame(rows, NARROW).repartition(8).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        events = spark.read.parquet(path)
+        assert events.rdd.getNumPartitions() >= 8
+        result = sessionize(events, hot_cell_rows=100)
+        shares = result.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in shares) == len(rows)
+        assert max(r["count"] for r in shares) < 2_000
+        assert result.filter("user_id = 'hot' and new_session = 1").count() == 1
+    finally:
+        for name in (
+            "spark.sql.files.maxPartitionBytes",
+            "spark.sql.files.openCostInBytes",
+            "spark.sql.adaptive.coalescePartitions.enabled",
+        ):
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

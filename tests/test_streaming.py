@@ -28,6 +28,19 @@ def test_session_windows_agree_with_session_table(spark, minutes):
     assert rows_of(windows) == rows_of(table)
 
 
+def test_clock_changes_do_not_matter_without_a_zone(spark):
+    rows = [("u", at("2024-03-31 01:40:00")), ("u", at("2024-03-31 03:00:00"))]
+    events = spark.createDataFrame(rows, "user_id string, timestamp timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        for minutes, durations in ((79, [0, 0]), (80, [4800])):
+            for sessions in (sessions_by_window(events, minutes), session_table(events, minutes)):
+                assert [r.session_duration for r in sessions.collect()] == durations
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_session_windows_leave_out_undated_events(spark):
     rows = [("u", None), ("u", at("2024-01-01 00:00:00"))]
     sessions = sessions_by_window(spark.createDataFrame(rows, NARROW))

@@ -12,8 +12,7 @@ from playtrail.columns import (
     GAP,
     NEW_SESSION,
     PREVIOUS,
-    SESSION,
-    SESSION_KEY,
+    SONG_BY_ID,
     SONG_BY_NAME,
     TIMESTAMP,
 )
@@ -48,7 +47,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 SESSIONS = 50
 SONGS = 10
-SONG_BY_ID = ("musicbrainz_track_id", "track_name", "artist_name")
+DAYS = ("2024-01-05", "2024-01-11")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -89,10 +88,10 @@ def _tsv_round_trip(events: DataFrame) -> DataFrame:
     return read.withColumn(TIMESTAMP, F.col(TIMESTAMP).cast("timestamp_ntz"))
 
 
-def _parquet_days(events: DataFrame) -> DataFrame:
+def _parquet_days(events: DataFrame, *days: str) -> DataFrame:
     path = scratch_path(events.sparkSession, "events-by-day")
     parquet.write_events(events, path)
-    return parquet.read_events(events.sparkSession, path, *DAYS)
+    return parquet.read_events(events.sparkSession, path, *days)
 
 
 def _durable_metrics(events: DataFrame) -> DataFrame:
@@ -109,12 +108,11 @@ def _streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(sessions.schema).parquet(f"{path}/out")
 
 
-DAYS = ("2024-01-05", "2024-01-11")
-
 _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "events_scan": lambda e: e,
     "events_scan_tsv": _tsv_round_trip,
-    "events_in_date_range": _parquet_days,
+    "events_by_day": _parquet_days,
+    "events_in_date_range": lambda e: _parquet_days(e, *DAYS),
     "events_with_song_id": with_song_id,
     "events_missing_track_name": profile.missing_track_name,
     "song_variants": lambda e: profile.song_variants(e, "song-1"),
@@ -288,6 +286,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "events_scan": _on_events("SELECT * FROM e"),
         "events_scan_tsv": _on_events("SELECT * FROM e"),
+        "events_by_day": _on_events("SELECT * FROM e"),
         "events_in_date_range": _on_events(
             f"SELECT * FROM e WHERE CAST(\"timestamp\" AS DATE) "
             f"BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}'"

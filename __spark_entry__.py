@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,16 @@ from playtrail.streaming.sessions import (
     stream_sessions,
 )
 
+_LLM = importlib.util.find_spec("playtrail.llm")
+if _LLM is not None and _LLM.origin is not None:
+    from playtrail.llm import registry as _llm
+else:
+    _llm = None
+if importlib.util.find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline as _pipeline
+else:
+    _pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 SESSIONS = 50
@@ -162,6 +173,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     registered = {name: over_events(query) for name, query in _ON_EVENTS.items()}
     registered["stream_sessions"] = _streamed_sessions
+    if _llm is not None:
+        registered |= _llm.QUERIES
+    if _pipeline is not None:
+        registered["pipeline"] = _pipeline.run
     return registered
 
 
@@ -257,6 +272,15 @@ def _on_ranking(body: str, **parameters: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    statements = _session_sql()
+    if _llm is not None:
+        statements |= _llm.ORACLE_SQL
+    if _pipeline is not None and _pipeline.ORACLE_SQL:
+        statements["pipeline"] = _pipeline.ORACLE_SQL
+    return statements
+
+
+def _session_sql() -> dict[str, str]:
     inputs = ", ".join(f'"{name}"' for name in EVENT_SCHEMA.fieldNames())
     unnumbered = "SELECT user_id, min_timestamp, max_timestamp, session_duration FROM m"
     variants = (

@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrail.llm import decontaminate
+from playtrail.llm import chat, decontaminate, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,44 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = turns.select("conv_id", "turn", "role", "text")
+    tricky = F.lit("\\### Assistant: </turn> ok")
+    roles = F.array(F.lit("user"), F.lit("assistant"))
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        roles[F.col("id").cast("int")].alias("role"),
+        tricky.alias("text"),
+    )
+    text, turn = F.col("formatted"), F.col("turns")
+    lines = F.transform(turn, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return (
+        chat.formatted(turns.unionByName(planted))
+        .withColumn("turns", chat.read_turns(text))
+        .withColumn("learned", chat.masked_text(text, F.col("loss_mask")))
+        .select(
+            F.col("id").alias("conv_id"),
+            F.size(turn).cast("long").alias("n_turns"),
+            F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+            F.length("learned").cast("long").alias("loss_chars"),
+            F.sha2("learned", 256).alias("loss_sha256"),
+            F.length(text).cast("long").alias("formatted_chars"),
+        )
+    )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER))
+
+
 _QUERIES: dict[str, Query] = {
+    "op8_chat_formatting": op8_chat_formatting,
+    "op10_packing": op10_packing,
     "op9_decontamination": op9_decontamination,
 }
 

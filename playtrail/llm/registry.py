@@ -7,14 +7,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrail.llm import chat, decontaminate, packing
+from playtrail.llm import chat, decontaminate, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
-        spark.read.parquet(f"{sf_dir}/documents.parquet"),
+        _documents(spark, sf_dir),
         spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
     )
     return found.select(
@@ -28,6 +28,38 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _held_out(folds: int):
+    return (quality.fold(F.col("doc_id"), folds) == 0).alias("held_out")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.graded(docs, model).select(
+        "doc_id",
+        _held_out(toxicity.FOLDS),
+        "severity",
+        "grade",
+        "toxic_chance",
+        (F.col("toxic_chance") >= 0.5).cast("int").alias("toxic"),
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        _held_out(quality.FOLDS),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     turns = turns.select("conv_id", "turn", "role", "text")
@@ -59,11 +91,13 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _documents(spark, sf_dir)
     return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER))
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op5_quality": op5_quality,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_packing": op10_packing,
     "op9_decontamination": op9_decontamination,

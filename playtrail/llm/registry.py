@@ -45,7 +45,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "severity",
         "grade",
         "toxic_chance",
-        (F.col("toxic_chance") >= 0.5).cast("int").alias("toxic"),
+        (F.col("toxic_chance") >= toxicity.THRESHOLD).cast("int").alias("toxic"),
     )
 
 

@@ -7,8 +7,8 @@ whose presence depends most on the label (chi square over the sample). Near copi
 recognised by their lowest shingle hash, share the weight of one document.
 
 Labels only say toxic or not, so training grades are derived from them: 0 for
-documents labelled clean; for toxic ones 1, 2 or 3 by terciles of how many words
-in a hundred are cues, words far more frequent in toxic than in clean documents.
+documents labelled clean; for toxic ones 1, 2 or 3 by terciles of the summed
+log(1 + count) of cues, words far more frequent in toxic than in clean documents.
 
 At most ``sample_rows`` labelled documents are used, those whose ids hash lowest;
 their word hashes are fitted on the driver. Scoring all documents needs no shuffle.
@@ -30,6 +30,8 @@ from playtrail.llm.textbytes import WORD, Hasher, slices, windows
 
 SAMPLE_ROWS = 20_000
 N_WORDS = 512
+#: A document counts as toxic from this chance of a grade above 0.
+THRESHOLD = 0.2
 GRADES = 4
 SHINGLE = 5
 FOLDS = 5
@@ -62,50 +64,69 @@ class OrdinalModel:
         return np.bincount(row, self.weights[word] * np.log1p(count), n)
 
 
-def fit_ordinal(x, grade, weight, grades=GRADES, rounds=25, ridge=2.0):
+def fit_ordinal(x, grade, weight, grades=GRADES, rounds=30, ridge=1.0):
     """Weights and thresholds that maximise the weighted likelihood, with a ridge penalty.
 
-    Newton steps for the weights alternate with scaled gradient steps for the
-    thresholds. For logistic links the derivatives of log P(grade) by the linear
-    score are su + sl - 1 and -(su (1 - su) + sl (1 - sl)), su and sl being the
-    chances of a grade up to this one and up to the one below.
+    Newton's method on both together, halving a step that does not gain. A grade's
+    chance is su - sl, the chances of a grade up to this one and up to the one
+    below; u and l are their linear scores, threshold minus w.x.
     """
-    d = x.shape[1]
-    weights = np.zeros(d)
+    d, n_cuts = x.shape[1], grades - 1
     share = np.cumsum(np.bincount(grade, weight, grades))[:-1] / weight.sum()
     share = np.clip(share, 1e-4, 1 - 1e-4)
-    cuts = np.log(share / (1 - share)) + np.arange(grades - 1) * 1e-3
-    z = np.zeros(len(x))
-
-    def chances():
-        su = _sigmoid(np.append(cuts, np.inf)[grade] - z)
-        sl = _sigmoid(np.append(-np.inf, cuts)[grade] - z)
+    point = np.append(np.zeros(d), np.log(share / (1 - share)) + np.arange(n_cuts) * 1e-3)
+    upper = np.eye(grades)[grade][:, :-1]
+    lower = np.eye(grades)[grade][:, 1:]
+
+    def chances(at):
+        z = (x @ at[:d].astype(np.float32)).astype(np.float64)
+        su = _sigmoid(np.append(at[d:], np.inf)[grade] - z)
+        sl = _sigmoid(np.append(-np.inf, at[d:])[grade] - z)
         return su, sl
 
+    def value(at):
+        if (np.diff(at[d:]) <= 0).any():
+            return -np.inf
+        su, sl = chances(at)
+        return weight @ np.log(np.maximum(su - sl, 1e-12)) - ridge / 2 * at[:d] @ at[:d]
+
+    best = value(point)
     for _ in range(rounds):
-        su, sl = chances()
-        curve = (weight * (su * (1 - su) + sl * (1 - sl))).astype(np.float32)
-        push = x.T @ (weight * (su + sl - 1)).astype(np.float32) - ridge * weights
-        hessian = (x * curve[:, None]).T @ x + ridge * np.eye(d)
-        step = np.linalg.solve(hessian, push)
-        weights += step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-9))
-        z = (x @ weights.astype(np.float32)).astype(np.float64)
-        for _ in range(5):
-            su, sl = chances()
-            p = np.maximum(su - sl, 1e-9)
-            for k in range(grades - 1):
-                up, down = grade == k, grade == k + 1
-                slope = (weight * su * (1 - su) / p)[up].sum() - (weight * sl * (1 - sl) / p)[down].sum()
-                bend = (weight * su * (1 - su) / p)[up].sum() + (weight * sl * (1 - sl) / p)[down].sum()
-                cuts[k] += np.clip(slope / (bend + 1e-9), -0.5, 0.5)
-            cuts = np.maximum.accumulate(cuts + np.arange(grades - 1) * 1e-6)
-    return weights, cuts
-
-
-def derive_grades(toxic, cue_rate, grades=GRADES) -> np.ndarray:
-    """0 for clean; equal parts of the toxic, by rate of cue words, for the rest."""
-    cuts = np.quantile(cue_rate[toxic], np.linspace(0, 1, grades)[1:-1]) if toxic.any() else []
-    return np.where(toxic, 1 + np.searchsorted(cuts, cue_rate, side="left"), 0)
+        su, sl = chances(point)
+        p = np.maximum(su - sl, 1e-12)
+        a, b = su * (1 - su), sl * (1 - sl)
+        by_u, by_l = weight * a / p, -weight * b / p
+        uu = weight * (a * (1 - 2 * su) * p - a * a) / p**2
+        ll = weight * (-b * (1 - 2 * sl) * p - b * b) / p**2
+        ul = weight * a * b / p**2
+        push = np.append(
+            -(x.T @ (by_u + by_l).astype(np.float32)) - ridge * point[:d],
+            upper.T @ by_u + lower.T @ by_l,
+        )
+        bend = np.zeros((d + n_cuts, d + n_cuts))
+        bend[:d, :d] = (x * (uu + 2 * ul + ll).astype(np.float32)[:, None]).T @ x - ridge * np.eye(d)
+        mixed = upper * (uu + ul)[:, None] + lower * (ul + ll)[:, None]
+        bend[:d, d:] = -(x.T @ mixed.astype(np.float32))
+        bend[d:, :d] = bend[:d, d:].T
+        cross = (upper * ul[:, None]).T @ lower
+        bend[d:, d:] = (upper * uu[:, None]).T @ upper + (lower * ll[:, None]).T @ lower + cross + cross.T
+        step = np.linalg.solve(bend - 1e-9 * np.eye(len(bend)), -push)
+        for _ in range(8):
+            if (now := value(point + step)) > best:
+                break
+            step = step / 2
+        else:
+            break
+        point, gained, best = point + step, now - best, now
+        if gained < 1e-6 * abs(best):
+            break
+    return point[:d], point[d:]
+
+
+def derive_grades(toxic, cues, grades=GRADES) -> np.ndarray:
+    """0 for clean; equal parts of the toxic, by amount of cue words, for the rest."""
+    cuts = np.quantile(cues[toxic], np.linspace(0, 1, grades)[1:-1]) if toxic.any() else []
+    return np.where(toxic, 1 + np.searchsorted(cuts, cues, side="left"), 0)
 
 
 def fit(rows: list[dict], n_words: int = N_WORDS) -> OrdinalModel:
@@ -140,9 +161,8 @@ def fit(rows: list[dict], n_words: int = N_WORDS) -> OrdinalModel:
     odds = (in_toxic + 0.5) / (n_toxic + 1) / ((df - in_toxic + 0.5) / (size - n_toxic + 1))
     cue = np.zeros(len(vocabulary), bool)
     cue[chosen] = odds[chosen] > 8
-    total = np.maximum([r["n"] for r in rows], 1)
-    rate = 100 * np.bincount(doc, cue[word] * count, len(rows)) / total
-    weights, thresholds = fit_ordinal(x, derive_grades(toxic, rate), weight)
+    amount = np.bincount(doc, cue[word] * np.log1p(count), len(rows))
+    weights, thresholds = fit_ordinal(x, derive_grades(toxic, amount), weight)
     return OrdinalModel(vocabulary[chosen], weights, thresholds)
 
 

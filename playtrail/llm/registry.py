@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrail.llm import chat, decontaminate, packing, quality, toxicity
+from playtrail.llm import chat, decontaminate, packing, quality, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
+    )
+    return suffixes.repeated_bytes(_documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -97,6 +110,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_packing": op10_packing,

@@ -7,7 +7,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrail.llm import chat, decontaminate, packing, quality, suffixes, toxicity
+from playtrail.llm import (
+    chat,
+    decontaminate,
+    near_duplicates,
+    packing,
+    quality,
+    suffixes,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +57,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(_documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"),
+        "class_id",
+        (F.col("id") == F.col("class_id")).alias("kept"),
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate(
         "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
@@ -110,6 +126,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op8_chat_formatting": op8_chat_formatting,

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from playtrail.llm.quality import labelled_sample
 from playtrail.llm.textbytes import WORD, Hasher, slices, windows
 
-SAMPLE_ROWS = 20_000
-N_WORDS = 512
+SAMPLE_ROWS = 14_000
+N_WORDS = 400
 #: A document counts as toxic from this chance of a grade above 0.
 THRESHOLD = 0.2
 GRADES = 4

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playtrail.llm import (
     chat,
     decontaminate,
+    line_dedup,
     near_duplicates,
     packing,
     quality,
@@ -57,6 +58,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(_documents(spark, sf_dir)).select(
+        F.col("place.id").alias("doc_id"),
+        F.col("place.line_no").alias("line_no"),
+        "n_bytes",
+        "n_copies",
+        "n_links",
+        F.col("class_place.id").alias("class_doc_id"),
+        F.col("class_place.line_no").alias("class_line_no"),
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
@@ -126,6 +139,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,

@@ -16,6 +16,7 @@ from playtrail.llm import (
     quality,
     suffixes,
     toxicity,
+    vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +103,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        "component_id",
+        (F.col("id") == F.col("component_id")).alias("kept"),
+        "audited_recall",
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     turns = turns.select("conv_id", "turn", "role", "text")
@@ -143,6 +155,7 @@ _QUERIES: dict[str, Query] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
+    "op7_vectors": op7_vectors,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_packing": op10_packing,
     "op9_decontamination": op9_decontamination,

@@ -220,7 +220,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 def pack(found: DataFrame, groups: int, capacity: int = CAPACITY) -> DataFrame:
     """Give every piece a sequence and an offset there; sequences belong to one group."""
 
-    def fill(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def fill(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
             ["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True]
         )

@@ -1,8 +1,6 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +12,7 @@ from playtrail.llm import (
     near_duplicates,
     packing,
     quality,
+    stages,
     suffixes,
     toxicity,
     vectors,
@@ -165,15 +164,8 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def _on_workers(query: Query) -> Query:
-    """Let Python workers find this package where the driver runs from a checkout."""
-    root = str(Path(__file__).resolve().parents[2])
-
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        known = spark.sparkContext.environment.get("PYTHONPATH", "")
-        if root not in known.split(os.pathsep):
-            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(
-                filter(None, [known, root])
-            )
+        stages.reach_workers(spark)
         return query(spark, sf_dir.rstrip("/"))
 
     return run

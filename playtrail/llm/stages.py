@@ -1,11 +1,14 @@
 """Written intermediate results in the folder that all executors share."""
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local: list[str] = []
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,12 +24,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def keep_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back: no lineage above its scan remains."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet and read it back: no lineage above its scan remains.
+
+    So the shuffle files of the write are of no further use, and Spark is told to
+    remove them at its end.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:
     """How many parts the session deals shuffled rows to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver runs from a checkout."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        path = os.pathsep.join(filter(None, [known, root]))
+        spark.sparkContext.environment["PYTHONPATH"] = path

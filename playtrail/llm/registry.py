@@ -13,6 +13,7 @@ from playtrail.llm import (
     packing,
     quality,
     stages,
+    suffix_tree_lm,
     suffixes,
     toxicity,
     vectors,
@@ -102,6 +103,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.scored(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return found.select(
@@ -154,6 +159,7 @@ _QUERIES: dict[str, Query] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_vectors": op7_vectors,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_packing": op10_packing,

@@ -19,8 +19,8 @@ that takes both to sampled ones. For 400 bytes that is 14 of 183 positions.
    by the hash of their whole ``length`` bytes.
 4. *Compare adjacent.* Equal neighbours are repeats.
 
-The texts are dealt once to groups by row and that exchange is read three times
-(sample, merge, answer); everything else that moves is packed numbers. Copies in
+The texts are dealt to groups by row, once for the sample and once for the other
+steps, which share that exchange; everything else that moves is packed numbers. Copies in
 one group send one name with a mark, and no step lists pairs of occurrences, so
 copies of any number cost one entry per group and step.
 
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.stages import partitions
+from playtrail.llm.stages import keep_table, partitions
 from playtrail.llm.textbytes import Texts, mix, slices
 
 LENGTH = 400
@@ -338,6 +338,8 @@ def repeated_bytes(
 
     names = dealt.groupBy("of").applyInArrow(sample, _MOVED_SQL)
     told = names.groupBy("to").applyInArrow(lambda t: sort_names(t, length), _MOVED_SQL)
+    # names are by far the most that moves; once written, their shuffle files can go
+    told = keep_table(told, "names")
     rest = dealt.groupBy("of").cogroup(told.groupBy("of")).applyInArrow(spread, _MOVED_SQL)
     found = rest.groupBy("to").applyInArrow(lambda t: sort_whole(t, length), _MOVED_SQL)
     return dealt.groupBy("of").cogroup(found.groupBy("of")).applyInArrow(finish, _FOUND_SQL)

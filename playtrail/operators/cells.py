@@ -42,6 +42,8 @@ def number_cells(cells: DataFrame, user_col: str, limit: float) -> DataFrame:
 
     The null cell comes first. Each of its events opens a session of its own
     but, having equal sort keys, all of them carry the last of those numbers.
+    The number is a bigint, as that cell may hold any number of rows; results
+    narrow it only where their schema says so.
     """
     in_order = Window.partitionBy(user_col).orderBy(CELL)
     opened = F.when(F.col(CELL).isNull(), F.col(ROWS)).otherwise(
@@ -49,5 +51,5 @@ def number_cells(cells: DataFrame, user_col: str, limit: float) -> DataFrame:
     )
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cells.withColumn(CARRY, F.lag(LAST).over(in_order)).withColumn(
-        SESSION, F.sum(opened).over(so_far).cast("int")
+        SESSION, F.sum(opened).over(so_far)
     )

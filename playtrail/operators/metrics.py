@@ -42,6 +42,25 @@ def session_metrics(
     return _with_duration(session_bounds(events_with_sessions, keys))
 
 
+def number_sessions(cells: DataFrame, user_col: str, limit: float) -> DataFrame:
+    """Bounds and duration of the sessions that cells make up; the number is a bigint."""
+    return _with_duration(
+        number_cells(cells, user_col, limit)
+        .groupBy(user_col, SESSION)
+        .agg(F.min(FIRST).alias(SESSION_START), F.max(LAST).alias(SESSION_END))
+    )
+
+
+def numbered_sessions(
+    events: DataFrame, threshold_minutes: float = 20, user_col: str = USER
+) -> DataFrame:
+    """``session_table`` with the session number as a bigint, for further steps."""
+    limit = threshold_seconds(threshold_minutes)
+    require_columns(events, [TIMESTAMP, user_col])
+    cells = summarize_cells(events, user_col, cell_width(limit))
+    return number_sessions(cells, user_col, limit)
+
+
 def session_table(
     events: DataFrame, threshold_minutes: float = 20, user_col: str = USER
 ) -> DataFrame:
@@ -50,11 +69,5 @@ def session_table(
     Reads only user and timestamp and never brings single events together, so
     it is the way to take whenever the per-event columns are not wanted.
     """
-    limit = threshold_seconds(threshold_minutes)
-    require_columns(events, [TIMESTAMP, user_col])
-    cells = summarize_cells(events, user_col, cell_width(limit))
-    return _with_duration(
-        number_cells(cells, user_col, limit)
-        .groupBy(user_col, SESSION)
-        .agg(F.min(FIRST).alias(SESSION_START), F.max(LAST).alias(SESSION_END))
-    )
+    sessions = numbered_sessions(events, threshold_minutes, user_col)
+    return sessions.withColumn(SESSION, F.col(SESSION).cast("int"))

@@ -8,7 +8,6 @@ from playtrail.functions.timing import cell_start, seconds_between, starts_sessi
 from playtrail.operators.cells import (
     CARRY,
     CELL,
-    FIRST,
     LAST,
     ROWS,
     cell_width,
@@ -23,9 +22,9 @@ DERIVED = (PREVIOUS, GAP, NEW_SESSION, SESSION)
 MAX_CELL_SECONDS = 3600
 # A cell with more events than this is split further before it reaches one task.
 HOT_CELL_ROWS = 1_000_000
-# The hottest cells that are split. Their list is broadcast, so this is its size bound;
-# cells beyond it take the ordinary way, which gives the same rows in larger tasks.
-MAX_HOT_CELLS = 16_384
+# The list of such cells has at most one entry for so many events. From this number on that
+# bound is small enough to broadcast it; below, Spark chooses the join by the sizes it meets.
+BROADCAST_FROM_ROWS = 100_000
 
 _SEED = "__seed"
 _SECOND = "__second"
@@ -33,6 +32,7 @@ _LANE = "__lane"
 _SETTLED = "__settled"
 _HOT_USER = "__hot_user"
 _HOT_CELL = "__hot_cell"
+_HOT_SESSION = "__hot_session"
 
 
 def _lag_from_seed(rows: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,7 +81,7 @@ def _trace_hot(rows: DataFrame, instants: DataFrame, user_col: str) -> DataFrame
             _SECOND,
             F.lit(-1).alias(_LANE),
             F.lag(LAST).over(per_second).alias(TIMESTAMP),
-            F.lit(None).cast("int").alias(SESSION),
+            F.lit(None).cast("long").alias(SESSION),
         )
     )
 
@@ -108,25 +108,29 @@ def _trace(events: DataFrame, user_col: str, limit: float, hot_cell_rows: int) -
     summary = summarize_cells(events, user_col, width)
     cells = number_cells(summary, user_col, limit)
     seeds = cells.select(user_col, CELL, F.col(CARRY).alias(TIMESTAMP), SESSION)
-    # Sorting by every column of the summary lets this list share its shuffle.
-    hot = (
-        summary.filter(F.col(ROWS) > hot_cell_rows)
-        .orderBy(F.desc(ROWS), user_col, FIRST, LAST)
-        .limit(MAX_HOT_CELLS)
-        .select(F.col(user_col).alias(_HOT_USER), F.col(CELL).alias(_HOT_CELL))
+    hot = cells.filter(F.col(ROWS) > hot_cell_rows).select(
+        F.col(user_col).alias(_HOT_USER),
+        F.col(CELL).alias(_HOT_CELL),
+        CARRY,
+        F.col(SESSION).alias(_HOT_SESSION),
     )
+    if hot_cell_rows >= BROADCAST_FROM_ROWS:
+        hot = F.broadcast(hot)
     same_cell = F.col(user_col).eqNullSafe(F.col(_HOT_USER)) & F.col(CELL).eqNullSafe(
         F.col(_HOT_CELL)
     )
-    ordinary = in_cells.join(F.broadcast(hot), same_cell, "left_anti").withColumn(
-        SESSION, F.lit(None).cast("int")
-    )
-    hot_cells = cells.join(F.broadcast(hot), same_cell, "left_semi").select(
-        F.col(user_col).alias(_HOT_USER), F.col(CELL).alias(_HOT_CELL), CARRY, SESSION
+    # Every cell has a session number, so a row without one is in no hot cell. Both joins and
+    # the seeds want the number: that keeps the summary below them one and the same.
+    tagged = in_cells.join(hot, same_cell, "left")
+    in_hot_cell = F.col(_HOT_SESSION).isNotNull()
+    ordinary = tagged.filter(~in_hot_cell).select(
+        *kept, CELL, F.lit(None).cast("long").alias(SESSION)
     )
     crowded = _trace_hot(
-        in_cells.join(F.broadcast(hot_cells), same_cell).drop(_HOT_USER, _HOT_CELL),
-        in_cells.join(F.broadcast(hot), same_cell, "left_semi"),
+        tagged.filter(in_hot_cell).select(
+            *kept, CELL, CARRY, F.col(_HOT_SESSION).alias(SESSION)
+        ),
+        tagged.filter(in_hot_cell).select(user_col, CELL, TIMESTAMP),
         user_col,
     )
     columns = [*kept, PREVIOUS, SESSION]
@@ -156,5 +160,6 @@ def sessionize(
     return (
         traced.withColumn(GAP, gap)
         .withColumn(NEW_SESSION, starts_session(F.col(GAP), limit))
+        .withColumn(SESSION, F.col(SESSION).cast("int"))
         .select(*kept, *DERIVED)
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from sample import at
 
 from playtrail.columns import EVENT_SCHEMA
-from playtrail.operators import sessionize as module
 from playtrail.operators.sessionize import sessionize
 
 NARROW = "user_id string, timestamp timestamp"
@@ -129,9 +128,12 @@ def test_hot_cells_give_the_same_rows(spark, hot_cell_rows, minutes):
     assert traced(spark, rows, minutes, hot_cell_rows=hot_cell_rows) == expected(rows, minutes)
 
 
-def test_hot_cells_beyond_the_list_give_the_same_rows(spark, monkeypatch):
-    monkeypatch.setattr(module, "MAX_HOT_CELLS", 2)
+def test_the_list_of_hot_cells_has_no_cap(spark):
+    """All cells are hot, and every row still goes the way of the hot ones."""
     rows = random_rows(4)
+    result = sessionize(spark.createDataFrame(rows, NARROW), hot_cell_rows=EVERY_CELL_HOT)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan
     assert traced(spark, rows, hot_cell_rows=EVERY_CELL_HOT) == expected(rows)
 
 

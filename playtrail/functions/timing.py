@@ -30,3 +30,8 @@ def cell_start(instant: Column, width: int) -> Column:
 def starts_session(gap: Column, limit: float) -> Column:
     """1 where a gap opens a session: there is none, or it is longer than ``limit``."""
     return (gap.isNull() | (gap > F.lit(limit))).cast("int")
+
+
+def utc_day(instant: Column) -> Column:
+    """The date of the whole epoch second, whatever zone the session is in."""
+    return F.date_from_unix_date(F.floor(F.unix_timestamp(instant) / 86_400).cast("int"))

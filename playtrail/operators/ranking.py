@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.columns import (
@@ -17,12 +17,11 @@ from playtrail.columns import (
     TRACK_ID,
     USER,
 )
+from playtrail.functions.timing import utc_day
 from playtrail.validate import require_columns, require_row_count
 
 # Number of chosen sessions up to which their keys are sent to every task.
 MAX_BROADCAST_SESSIONS = 100_000
-# Number of them up to which an event is compared with all its user's chosen sessions.
-MAX_SPANS = 1_000
 
 
 def top_n(df: DataFrame, by: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -60,24 +59,55 @@ def events_of_sessions(
     return events_with_sessions.join(wanted, list(keys), "left_semi")
 
 
-def events_within(events: DataFrame, chosen: DataFrame, user_col: str = USER) -> DataFrame:
-    """Events that fall inside one of at most ``MAX_SPANS`` sessions.
+def events_within(
+    events: DataFrame,
+    chosen: DataFrame,
+    user_col: str = USER,
+    day_col: str | None = None,
+) -> DataFrame:
+    """Events that fall inside one of the chosen sessions, however many these are.
 
     A session owns exactly its user's events between its bounds, so events need
-    no session number, and therefore no shuffle, to be told in from out. The
-    session of a user's events without timestamp has null bounds.
+    no session number to be told in from out. Each span is listed once for every
+    day it touches, and events meet the spans of their user and day only; with
+    ``day_col``, a partition column holding the date of the timestamp in UTC, Spark
+    reads no other folders. The session of a user's events without timestamp has
+    null bounds and a null day.
     """
+    from_day, to_day = utc_day(F.col(SESSION_START)), utc_day(F.col(SESSION_END))
+    days = F.when(F.col(SESSION_START).isNull(), F.array(_no_day())).otherwise(
+        F.sequence(from_day, to_day)
+    )
     spans = chosen.select(
         F.col(user_col).alias("__user"),
         F.col(SESSION_START).alias("__from"),
         F.col(SESSION_END).alias("__to"),
+        F.explode(days).alias("__day"),
     )
-    inside = F.col(TIMESTAMP).between(F.col("__from"), F.col("__to")) | (
-        F.col(TIMESTAMP).isNull() & F.col("__from").isNull()
+    same_user = F.col(user_col) == F.col("__user")
+    inside = F.col(TIMESTAMP).between(F.col("__from"), F.col("__to"))
+    timeless = F.col(TIMESTAMP).isNull() & F.col("__from").isNull()
+    if day_col is None:
+        own_day = F.coalesce(utc_day(F.col(TIMESTAMP)), _no_day())
+        return events.join(
+            spans, same_user & (own_day == F.col("__day")) & (inside | timeless), "left_semi"
+        )
+    # The comparison with the partition column has to stand by itself for Spark to prune by it,
+    # and so does a filter on the spans for Spark to think it worth the while.
+    dated = events.join(
+        spans.filter(F.col("__day") > _no_day()),
+        same_user & (F.col(day_col) == F.col("__day")) & inside,
+        "left_semi",
     )
-    return events.join(
-        F.broadcast(spans), (F.col(user_col) == F.col("__user")) & inside, "left_semi"
+    undated = events.filter(F.col(day_col).isNull()).join(
+        spans.filter(F.col("__day") == _no_day()), same_user & timeless, "left_semi"
     )
+    return dated.unionByName(undated)
+
+
+def _no_day() -> Column:
+    """Stands for the day of events without a timestamp: the first of year 1."""
+    return F.date_from_unix_date(F.lit(-719_162))
 
 
 def song_counts(events: DataFrame, identity: Sequence[str]) -> DataFrame:

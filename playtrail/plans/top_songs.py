@@ -3,36 +3,32 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from playtrail.columns import SESSION_KEY, SONG_BY_ID
-from playtrail.operators.metrics import session_metrics, session_table
+from playtrail.operators.metrics import numbered_sessions, session_metrics
 from playtrail.operators.ranking import (
-    MAX_SPANS,
-    events_of_sessions,
     events_within,
     longest_sessions,
     song_counts_by_id,
     songs_in_sessions,
     top_songs,
 )
-from playtrail.operators.sessionize import sessionize
 from playtrail.sources.tsv import read_events, result_name, write_tsv
 
 
 def events_in_longest_sessions(
-    events: DataFrame, threshold_minutes: float = 20, session_number: int = 50
+    events: DataFrame,
+    threshold_minutes: float = 20,
+    session_number: int = 50,
+    day_col: str | None = None,
 ) -> DataFrame:
     """Events of the longest sessions, straight from the event table.
 
-    Two passes over the events, of which only the narrow first one shuffles, as
-    long as few sessions are wanted. More of them are matched by session key
-    against the sessionized events.
+    Two passes over the events, of which the first, narrow one cuts the sessions
+    and the second meets them by user and day. ``day_col`` names the column of a
+    day-partitioned table, so that the second pass reads the days of those
+    sessions only.
     """
-    chosen = longest_sessions(session_table(events, threshold_minutes), session_number)
-    if session_number <= MAX_SPANS:
-        return events_within(events, chosen)
-    numbered = sessionize(events, threshold_minutes)
-    return events_of_sessions(numbered, chosen, at_most=session_number).select(
-        *events.columns
-    )
+    chosen = longest_sessions(numbered_sessions(events, threshold_minutes), session_number)
+    return events_within(events, chosen, day_col=day_col)
 
 
 def top_songs_in_longest_sessions(
@@ -40,8 +36,9 @@ def top_songs_in_longest_sessions(
     threshold_minutes: float = 20,
     session_number: int = 50,
     song_number: int = 10,
+    day_col: str | None = None,
 ) -> DataFrame:
-    played = events_in_longest_sessions(events, threshold_minutes, session_number)
+    played = events_in_longest_sessions(events, threshold_minutes, session_number, day_col)
     return top_songs(song_counts_by_id(played), song_number).select(*SONG_BY_ID)
 
 

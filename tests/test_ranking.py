@@ -10,6 +10,7 @@ from playtrail.operators.ranking import (
     events_of_sessions,
     events_within,
     longest_sessions,
+    song_counts,
     song_counts_by_name,
     songs_in_sessions,
     top_n,
@@ -17,13 +18,13 @@ from playtrail.operators.ranking import (
     with_song_id,
 )
 from playtrail.operators.sessionize import sessionize
-from playtrail.plans import top_songs as plan_module
 from playtrail.plans.identity import compare_song_identity
 from playtrail.plans.top_songs import (
     events_in_longest_sessions,
     top_songs_in_longest_sessions,
     top_songs_of_sessionized,
 )
+from playtrail.sources import parquet
 
 
 @pytest.fixture(scope="module")
@@ -125,10 +126,9 @@ def test_song_ranking_by_name_counts_plays_without_id(events):
 def test_hand_made_sessions_rank_without_sessionizing_again(spark, events):
     """Sessions may come from elsewhere and carry their number as text."""
     rows = [
-        ("user-1", "1", at("2024-04-21 00:00:00"), at("2024-04-21 01:00:00"), 3600),
-        ("user-1", "2", at("2024-04-22 00:00:00"), at("2024-04-22 00:00:00"), 0),
-        ("user-1", "3", at("2024-04-22 20:01:00"), at("2024-04-22 20:01:00"), 0),
         ("user-2", "1", at("2024-04-21 00:00:00"), at("2024-04-21 00:40:00"), 2400),
+        ("user-1", "1", at("2024-04-21 00:00:00"), at("2024-04-21 01:20:00"), 4800),
+        ("user-1", "3", at("2024-04-22 00:20:01"), at("2024-04-22 00:20:01"), 0),
     ]
     sessions = spark.createDataFrame(
         rows,
@@ -164,11 +164,29 @@ def test_spans_and_keys_choose_the_same_events(odd_events, number):
     assert ours.count() > 0
 
 
-def test_many_sessions_take_the_way_by_key(odd_events, monkeypatch):
-    direct = top_songs_in_longest_sessions(odd_events, 20, 30, 20).collect()
-    monkeypatch.setattr(plan_module, "MAX_SPANS", 10)
-    by_key = top_songs_in_longest_sessions(odd_events, 20, 30, 20)
-    assert by_key.collect() == direct
+def test_many_sessions_have_the_same_plan_and_rows(odd_events):
+    few, many = (top_songs_in_longest_sessions(odd_events, 20, n, 20) for n in (30, 5_000))
+    nodes = [
+        [line.strip(" +-:*()0123456789").split(" ")[0] for line in plan.splitlines()]
+        for plan in (df._jdf.queryExecution().optimizedPlan().toString() for df in (few, many))
+    ]
+    assert nodes[0] == nodes[1]
+    numbered = sessionize(odd_events)
+    chosen = longest_sessions(session_table(odd_events), 5_000)
+    by_key = top_songs(song_counts(with_song_id(events_of_sessions(numbered, chosen)), SONG_BY_ID), 20)
+    assert many.collect() == by_key.select(*many.columns).collect()
+    executed = many._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in executed and "Cartesian" not in executed
+
+
+def test_day_partitions_outside_the_chosen_sessions_are_not_read(spark, odd_events, tmp_path):
+    path = str(tmp_path / "days")
+    parquet.write_events(odd_events, path)
+    stored = parquet.read_events(spark, path, keep_day=True)
+    ranked = top_songs_in_longest_sessions(stored, 20, 3, 20, day_col=parquet.EVENT_DATE)
+    direct = top_songs_in_longest_sessions(odd_events, 20, 3, 20)
+    assert ranked.collect() == direct.collect()
+    assert "dynamicpruning" in ranked._jdf.queryExecution().executedPlan().toString()
 
 
 def test_only_bounded_sides_are_broadcast(odd_events):

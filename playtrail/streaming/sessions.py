@@ -17,8 +17,14 @@ _SECOND = "__second"
 _WINDOW = "__window"
 
 
-def _whole_seconds(threshold_minutes: float) -> int:
-    return int(threshold_seconds(threshold_minutes))
+def _window_length(threshold_minutes: float) -> float:
+    """Seconds a window stays open after an event: enough for gaps of the threshold, no more.
+
+    Gaps are whole seconds, so only the whole part of the threshold counts, and
+    half a second beyond it cuts at the same places. Without it, a threshold of
+    less than a second would leave windows of no length, which Spark drops.
+    """
+    return int(threshold_seconds(threshold_minutes)) + 0.5
 
 
 def _as_sessions(bounds: DataFrame, user_col: str) -> DataFrame:
@@ -42,7 +48,7 @@ def stream_sessions(
     timestamp belong to none.
     """
     require_columns(events, [TIMESTAMP, user_col])
-    gap = f"{_whole_seconds(threshold_minutes)} seconds"
+    gap = f"{int(_window_length(threshold_minutes) * 1000)} milliseconds"
     bounds = (
         events.select(user_col, TIMESTAMP, whole_second(F.col(TIMESTAMP)).alias(_SECOND))
         .withWatermark(_SECOND, lateness)
@@ -78,12 +84,13 @@ def sessions_by_window(
     events: DataFrame, threshold_minutes: float = 20, user_col: str = USER
 ) -> DataFrame:
     """The batch form: a session window over time cells, each as long as it holds events."""
-    seconds = _whole_seconds(threshold_minutes)
+    seconds = _window_length(threshold_minutes)
     require_columns(events, [TIMESTAMP, user_col])
-    cells = summarize_cells(events, user_col, cell_width(seconds)).filter(
+    cells = summarize_cells(events, user_col, cell_width(threshold_seconds(threshold_minutes))).filter(
         F.col(CELL).isNotNull()
     )
-    open_for = F.make_interval(secs=seconds_between(F.col(FIRST), F.col(LAST)) + seconds)
+    length = seconds_between(F.col(FIRST), F.col(LAST)) + F.lit(seconds)
+    open_for = F.make_interval(secs=length.cast("decimal(18,6)"))
     bounds = (
         cells.select(
             user_col,
@@ -96,3 +103,21 @@ def sessions_by_window(
         .agg(F.min(FIRST).alias(SESSION_START), F.max(LAST).alias(SESSION_END))
     )
     return _as_sessions(bounds, user_col)
+
+
+def still_open(
+    events: DataFrame, closed: DataFrame, threshold_minutes: float = 20, user_col: str = USER
+) -> DataFrame:
+    """Sessions of the events that come after the last closed session of their user.
+
+    ``closed`` is what a stream over the same events has written so far. A stream
+    closes the sessions of a user in order of time, so the two together are all
+    sessions. Null users keep theirs, too.
+    """
+    last = closed.groupBy(F.col(user_col).alias("__user")).agg(
+        F.max(SESSION_END).alias("__closed_to")
+    )
+    later = events.join(last, F.col(user_col).eqNullSafe(F.col("__user")), "left").filter(
+        F.col("__closed_to").isNull() | (F.col(TIMESTAMP) > F.col("__closed_to"))
+    )
+    return sessions_by_window(later.select(user_col, TIMESTAMP), threshold_minutes, user_col)

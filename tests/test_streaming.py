@@ -19,7 +19,7 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("minutes", [1, 20, 300])
+@pytest.mark.parametrize("minutes", [0.01, 0.5 / 60, 1 / 60, 0.5, 1, 20, 300])
 def test_session_windows_agree_with_session_table(spark, minutes):
     rows = [r for r in random_rows(21) if r[0] and r[1]]
     events = spark.createDataFrame(rows, NARROW)

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.columns import (
@@ -27,13 +27,13 @@ def time_range(events: DataFrame) -> DataFrame:
 
 def missing_values(df: DataFrame) -> DataFrame:
     """One row holding the number of nulls in each column."""
-    return df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in df.columns])
+    return df.agg(*[F.count_if(named(name).isNull()).alias(name) for name in df.columns])
 
 
 def missing_pct(df: DataFrame, columns: Sequence[str] = (ARTIST_ID, TRACK_ID)) -> DataFrame:
     """One row holding the percentage of nulls in each of ``columns``, to two decimals."""
     share = [
-        F.round(F.count_if(F.col(name).isNull()) / F.count(F.lit(1)) * 100, 2).alias(name)
+        F.round(F.count_if(named(name).isNull()) / F.count(F.lit(1)) * 100, 2).alias(name)
         for name in columns
     ]
     return df.agg(*share)
@@ -41,7 +41,37 @@ def missing_pct(df: DataFrame, columns: Sequence[str] = (ARTIST_ID, TRACK_ID)) -
 
 def approx_distinct(df: DataFrame) -> DataFrame:
     """One row holding the estimated number of distinct values of each column."""
-    return df.agg(*[F.approx_count_distinct(name).alias(name) for name in df.columns])
+    return df.agg(*[F.approx_count_distinct(named(name)).alias(name) for name in df.columns])
+
+
+def approx_distinct_check(df: DataFrame, rsd: float = 0.05, deviations: float = 4) -> DataFrame:
+    """Per column: exact number of distinct values, and whether the estimate is near it.
+
+    Near is within ``deviations`` times the relative standard deviation of the sketch.
+    """
+    exact = [F.count_distinct(named(name)).alias(f"exact_{i}") for i, name in enumerate(df.columns)]
+    guess = [
+        F.approx_count_distinct(named(name), rsd).alias(f"guess_{i}")
+        for i, name in enumerate(df.columns)
+    ]
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column"),
+                F.col(f"exact_{i}").alias("exact"),
+                F.col(f"guess_{i}").alias("guess"),
+            )
+            for i, name in enumerate(df.columns)
+        ]
+    )
+    found = df.agg(*exact, *guess)
+    far = F.abs(F.col("guess") - F.col("exact")) > deviations * rsd * F.col("exact")
+    return found.select(F.inline(lines)).select("column", "exact", (~far).alias("in_bounds"))
+
+
+def named(name: str) -> Column:
+    """A column by its literal name, which may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def track_ids_per_song(events: DataFrame) -> DataFrame:

@@ -6,16 +6,30 @@ from pyspark.sql import functions as F
 from playtrail.columns import EVENT_SCHEMA
 
 
-def read_events(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+# How ``write_tsv`` writes, for reading its files back: quotes are doubled, a quoted field may
+# hold line breaks, and blanks belong to the field. Spark cannot split such a file by lines.
+WRITTEN = {
+    "escape": '"',
+    "multiLine": True,
+    "lineSep": "\n",  # or the first line break of a quoted field may be taken for it
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def read_events(
+    spark: SparkSession, path: str, quote: str = '"', written: bool = False
+) -> DataFrame:
     """Headerless event files in the order of ``EVENT_SCHEMA``.
 
     Empty fields and unreadable timestamps become null, short lines are filled
     up with nulls and extra fields dropped. ``quote=""`` takes quotation marks
-    as ordinary characters.
+    as ordinary characters; ``written`` reads the files of ``write_tsv``, which
+    have every character of the fields but for empty texts, which become null.
     """
     return (
         spark.read.schema(EVENT_SCHEMA)
-        .options(sep="\t", header=False, quote=quote)
+        .options(sep="\t", header=False, quote=quote, **(WRITTEN if written else {}))
         .csv(path)
     )
 
@@ -40,7 +54,9 @@ def result_name(song_number: int, session_number: int) -> str:
     return f"top_{song_number}_songs_in_{session_number}_longest_session.tsv"
 
 
-def write_tsv(df: DataFrame, path: str, single_file: bool = False, header: bool = True) -> None:
+def write_tsv(
+    df: DataFrame, path: str, single_file: bool = False, header: bool = True
+) -> None:
     """Write ``df`` below ``path``.
 
     Quotes are doubled, nulls and empty strings are empty fields and blanks are

@@ -31,13 +31,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
+def as_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back.
 
     The result has no lineage above its scan, so a lost executor costs a
-    re-read and not a recomputation.
+    re-read and not a recomputation. Files stay; a caller who wants to remove
+    them names the ``path``.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

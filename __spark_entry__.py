@@ -16,7 +16,9 @@ from playtrail.columns import (
     SONG_BY_ID,
     SONG_BY_NAME,
     TIMESTAMP,
+    TRACK_NAME,
 )
+from playtrail.functions.timing import utc_day
 from playtrail.operators import profile
 from playtrail.operators.metrics import session_bounds, session_metrics, session_table
 from playtrail.operators.quality import quality_report
@@ -41,6 +43,7 @@ from playtrail.storage import as_table, scratch_path
 from playtrail.streaming.sessions import (
     sessions_by_window,
     start_session_sink,
+    still_open,
     stream_sessions,
 )
 
@@ -70,35 +73,74 @@ def _inputs(names: list[str]) -> list[str]:
     return [*EVENT_SCHEMA.fieldNames(), *names]
 
 
-def _longest_with_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return sessionize(events), longest_sessions(session_table(events), SESSIONS)
+def _sessionized_once(events: DataFrame) -> DataFrame:
+    """Session numbers written once, for the bounds and for the events of chosen sessions."""
+    return as_table(sessionize(events), "sessionized")
 
 
 def _events_of_longest(events: DataFrame) -> DataFrame:
-    numbered, chosen = _longest_with_events(events)
+    numbered = _sessionized_once(events)
+    chosen = longest_sessions(session_metrics(numbered), SESSIONS)
     return events_of_sessions(numbered, chosen, at_most=SESSIONS)
 
 
 def _counts_by_id(events: DataFrame) -> DataFrame:
-    numbered, chosen = _longest_with_events(events)
-    return songs_in_sessions(
-        numbered, chosen, other_cols=SONG_BY_ID[1:], at_most=SESSIONS
-    )
+    numbered = _sessionized_once(events)
+    chosen = longest_sessions(session_metrics(numbered), SESSIONS)
+    return songs_in_sessions(numbered, chosen, other_cols=SONG_BY_ID[1:], at_most=SESSIONS)
 
 
 def _counts_by_name(events: DataFrame) -> DataFrame:
     return song_counts_by_name(events_in_longest_sessions(events))
 
 
+def _with_odd_titles(events: DataFrame) -> DataFrame:
+    """Titles with quotes, tabs, backslashes, leading blanks and line breaks."""
+    title = F.col(TRACK_NAME)
+    kind = F.substring(title, 6, 9).cast("int") % 4
+    odd = (
+        F.when(kind == 0, F.concat(F.lit('"'), title, F.lit('"')))
+        .when(kind == 1, F.concat(title, F.lit('\t"x')))
+        .when(kind == 2, F.concat(F.lit(" "), title, F.lit("\\")))
+        .otherwise(F.concat(title, F.lit("\r\nsecond\nthird")))
+    )
+    return events.withColumn(TRACK_NAME, F.when(title.isNotNull(), odd))
+
+
 def _tsv_round_trip(events: DataFrame) -> DataFrame:
     spark = events.sparkSession
     path = scratch_path(spark, "events-tsv")
     as_text = F.date_format(TIMESTAMP, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    tsv.write_tsv(events.withColumn(TIMESTAMP, as_text), path, header=False)
-    read = tsv.read_events(spark, path)
+    odd = _with_odd_titles(events).withColumn(TIMESTAMP, as_text)
+    tsv.write_tsv(odd, path, header=False)
+    read = tsv.read_events(spark, path, written=True)
     return read.withColumn(TIMESTAMP, F.col(TIMESTAMP).cast("timestamp_ntz"))
 
 
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as profile text and read again."""
+    path = scratch_path(spark, "users-tsv")
+    number = F.col("c_custkey")
+    profiles = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.concat(F.lit("user_"), number).alias("user_id"),
+        F.when(number % 2 == 0, "f").otherwise("m").alias("gender"),
+        F.when(number % 7 != 0, (number % 80).cast("string")).alias("age"),
+        F.concat(F.lit("country "), "c_nationkey").alias("country"),
+        F.date_format(
+            F.date_add(F.lit("2005-01-01").cast("date"), (number % 3000).cast("int")), "MMM d, yyyy"
+        ).alias("registered"),
+    )
+    tsv.write_tsv(profiles, path)
+    return tsv.read_users(spark, path)
+
+
+def _top_songs_by_day_store(events: DataFrame) -> DataFrame:
+    path = scratch_path(events.sparkSession, "events-by-day")
+    parquet.write_events(events, path)
+    stored = parquet.read_events(events.sparkSession, path, keep_day=True)
+    return top_songs_in_longest_sessions(stored, day_col=parquet.EVENT_DATE)
+
+
 def _parquet_days(events: DataFrame, *days: str) -> DataFrame:
     path = scratch_path(events.sparkSession, "events-by-day")
     parquet.write_events(events, path)
@@ -119,6 +161,28 @@ def _streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(sessions.schema).parquet(f"{path}/out")
 
 
+SLICES = 4
+
+
+def _complete_streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in slices of time, the stream is restarted for each; then what is open."""
+    whole = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path = scratch_path(spark, "stream-slices")
+    first, last = whole.agg(F.min("ts"), F.max("ts")).first()
+    bounds = [first + (last - first) * k / SLICES for k in range(1, SLICES)]
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        now = F.lit(True)
+        now = now if low is None else now & (F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
+        now = now if high is None else now & (F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+        now = now | F.col("ts").isNull() if low is None else now
+        whole.filter(now).write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(whole.schema).parquet(f"{path}/in")
+        sessions = stream_sessions(as_listening_events(arriving), lateness="1 hour")
+        start_session_sink(sessions, f"{path}/out", f"{path}/state").awaitTermination()
+    closed = spark.read.schema(sessions.schema).parquet(f"{path}/out")
+    return closed.unionByName(still_open(as_listening_events(whole), closed))
+
+
 _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "events_scan": lambda e: e,
     "events_scan_tsv": _tsv_round_trip,
@@ -143,6 +207,7 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "session_table_6h": lambda e: session_table(e, 6 * 60),
     "session_table_24h": lambda e: session_table(e, 24 * 60),
     "sessions_by_window": sessions_by_window,
+    "sessions_by_window_subsecond": lambda e: sessions_by_window(e, 0.5 / 60),
     "sessions_by_window_6h": lambda e: sessions_by_window(e, 6 * 60),
     "longest_sessions": lambda e: longest_sessions(session_table(e), SESSIONS),
     "events_in_longest_sessions": _events_of_longest,
@@ -152,7 +217,9 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "top_songs_by_id": lambda e: top_songs(_counts_by_id(e), SONGS),
     "top_songs_by_name": lambda e: top_songs(_counts_by_name(e), SONGS, SONG_BY_NAME),
     "top_songs_in_longest_sessions": top_songs_in_longest_sessions,
-    "top_songs_of_sessionized": lambda e: top_songs_of_sessionized(sessionize(e)),
+    "top_songs_of_sessionized": lambda e: top_songs_of_sessionized(_sessionized_once(e)),
+    "top_songs_5000_sessions": lambda e: top_songs_in_longest_sessions(e, 20, 5000, SONGS),
+    "top_songs_by_day_store": _top_songs_by_day_store,
     "top_songs_6h": lambda e: top_songs_in_longest_sessions(e, 6 * 60, 100, 20),
     "compare_song_identity": lambda e: compare_song_identity(
         events_in_longest_sessions(e), SONGS
@@ -162,8 +229,18 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "profile_missing_values": profile.missing_values,
     "profile_missing_pct": profile.missing_pct,
     "profile_approx_distinct": profile.approx_distinct,
+    "profile_approx_distinct_check": profile.approx_distinct_check,
     "track_ids_per_song": profile.track_ids_per_song,
     "quality_report": quality_report,
+    "quality_by_day": lambda e: quality_report(e, per={"day": utc_day(F.col(TIMESTAMP))}),
+}
+
+
+_ON_TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_sessions": _streamed_sessions,
+    "stream_sessions_complete": _complete_streamed_sessions,
+    "users_scan": _users,
+    "users_typed": lambda spark, sf_dir: tsv.typed_users(_users(spark, sf_dir)),
 }
 
 
@@ -171,8 +248,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_events(query):
         return lambda spark, sf_dir: query(read_listening_events(spark, sf_dir))
 
-    registered = {name: over_events(query) for name, query in _ON_EVENTS.items()}
-    registered["stream_sessions"] = _streamed_sessions
+    registered = {name: over_events(query) for name, query in _ON_EVENTS.items()} | _ON_TABLES
     if _llm is not None:
         registered |= _llm.QUERIES
     if _pipeline is not None:
@@ -195,7 +271,7 @@ e AS (
 )"""
 
 
-def _session_ctes(minutes: int) -> str:
+def _session_ctes(minutes: float) -> str:
     return f"""{_EVENTS_CTE},
 lagged AS (
     SELECT *, lag("timestamp") OVER (
@@ -263,7 +339,7 @@ def _on_events(body: str) -> str:
     return f"WITH {_EVENTS_CTE} {body}"
 
 
-def _on_sessions(body: str, minutes: int = 20) -> str:
+def _on_sessions(body: str, minutes: float = 20) -> str:
     return f"WITH {_session_ctes(minutes)} {body}"
 
 
@@ -306,10 +382,46 @@ def _session_sql() -> dict[str, str]:
             ("artist_name", 0.99),
         )
     )
+    by_day = " UNION ALL ".join(
+        f"""SELECT CAST("timestamp" AS DATE) AS day, '{name}' AS "column",
+            CAST({least} AS DOUBLE) AS threshold, count("{name}") / count(*) AS observed,
+            count("{name}") / count(*) >= {least} AS passed
+            FROM e GROUP BY CAST("timestamp" AS DATE)"""
+        for name, least in (
+            ("timestamp", 1.0),
+            ("musicbrainz_track_id", 0.85),
+            ("track_name", 0.99),
+            ("artist_name", 0.99),
+        )
+    )
+    exact = " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(DISTINCT "{name}") AS exact, true AS in_bounds
+            FROM e"""
+        for name in EVENT_SCHEMA.fieldNames()
+    )
+    users = """d AS (
+            SELECT 'user_' || c_custkey AS user_id,
+                   DATE '2005-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS day FROM customer
+        ), u AS (
+            SELECT 'user_' || c_custkey AS user_id,
+                   CASE WHEN c_custkey % 2 = 0 THEN 'f' ELSE 'm' END AS gender,
+                   CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 80 AS VARCHAR) END AS age,
+                   'country ' || c_nationkey AS country,
+                   strftime(DATE '2005-01-01' + CAST(c_custkey % 3000 AS INTEGER), '%b %-d, %Y')
+                       AS registered
+            FROM customer
+        )"""
     ids = ", ".join(SONG_BY_ID)
     return {
         "events_scan": _on_events("SELECT * FROM e"),
-        "events_scan_tsv": _on_events("SELECT * FROM e"),
+        "events_scan_tsv": _on_events(
+            """SELECT * REPLACE (CASE CAST(substr(track_name, 6) AS INTEGER) % 4
+                   WHEN 0 THEN '"' || track_name || '"'
+                   WHEN 1 THEN track_name || chr(9) || '"x'
+                   WHEN 2 THEN ' ' || track_name || '\\'
+                   WHEN 3 THEN track_name || chr(13) || chr(10) || 'second' || chr(10) || 'third'
+               END AS track_name) FROM e"""
+        ),
         "events_by_day": _on_events("SELECT * FROM e"),
         "events_in_date_range": _on_events(
             f"SELECT * FROM e WHERE CAST(\"timestamp\" AS DATE) "
@@ -345,9 +457,11 @@ def _session_sql() -> dict[str, str]:
         "sessions_by_window_6h": _on_sessions(unnumbered, 6 * 60),
         "stream_sessions": _on_sessions(
             f"""{unnumbered}
-            WHERE date_trunc('second', max_timestamp) + INTERVAL 20 MINUTE
+            WHERE date_trunc('second', max_timestamp) + INTERVAL 1200500 MILLISECOND
                   <= (SELECT date_trunc('second', max("timestamp")) FROM e) - INTERVAL 1 HOUR"""
         ),
+        "stream_sessions_complete": _on_sessions(unnumbered),
+        "sessions_by_window_subsecond": _on_sessions(unnumbered, 0.5 / 60),
         "longest_sessions": _on_ranking("SELECT * FROM longest"),
         "events_in_longest_sessions": _on_ranking("SELECT * FROM played"),
         "events_within_longest_sessions": _on_ranking(f"SELECT {inputs} FROM played"),
@@ -357,6 +471,8 @@ def _session_sql() -> dict[str, str]:
         "top_songs_by_name": _on_ranking("SELECT * FROM top_name"),
         "top_songs_in_longest_sessions": _on_ranking(f"SELECT {ids} FROM top_id"),
         "top_songs_of_sessionized": _on_ranking(f"SELECT {ids} FROM top_id"),
+        "top_songs_5000_sessions": _on_ranking(f"SELECT {ids} FROM top_id", sessions=5000),
+        "top_songs_by_day_store": _on_ranking(f"SELECT {ids} FROM top_id"),
         "top_songs_6h": _on_ranking(
             f"SELECT {ids} FROM top_id", minutes=6 * 60, sessions=100, songs=20
         ),
@@ -388,4 +504,10 @@ def _session_sql() -> dict[str, str]:
             "count(DISTINCT musicbrainz_track_id) AS distinct_track_id FROM e GROUP BY ALL"
         ),
         "quality_report": _on_events(expectations),
+        "quality_by_day": _on_events(by_day),
+        "profile_approx_distinct_check": _on_events(exact),
+        "users_scan": f"WITH {users} SELECT * FROM u",
+        "users_typed": f"""WITH {users}
+            SELECT user_id, gender, CAST(age AS INTEGER) AS age, country, day AS registered
+            FROM u JOIN d USING (user_id)""",
     }

@@ -7,31 +7,19 @@ def at(text):
     return datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
 
 
-def _event(user, instant, artist, track, song):
-    return (
-        user,
-        at(instant),
-        f"musicbrainz-artist-id-{artist}",
-        f"artist-name-{artist}",
-        track and f"musicbrainztrack-id-{track}",
-        f"song-name-{song}",
-    )
-
-
-# The sample events.
+# The sample events and what follows from them.
 EVENTS = [
-    _event("user-1", "2024-04-21 00:00:00", 1, 1, 1),
-    _event("user-1", "2024-04-21 00:20:00", 1, None, 1),
-    _event("user-1", "2024-04-21 00:40:00", 1, None, 1),
-    _event("user-1", "2024-04-21 01:00:00", 1, None, 1),
-    _event("user-1", "2024-04-21 01:20:00", 2, None, 1),
-    _event("user-1", "2024-04-22 00:00:00", 3, 3, 3),
-    _event("user-1", "2024-04-22 00:20:01", 3, 3, 3),
-    _event("user-2", "2024-04-21 00:00:00", 4, 4, 4),
-    _event("user-2", "2024-04-21 00:20:00", 4, 5, 4),
-    _event("user-2", "2024-04-21 00:40:00", 4, 5, 4),
+    ("user-1", at("2024-04-21 00:00:00"), "musicbrainz-artist-id-1", "artist-name-1", "musicbrainztrack-id-1", "song-name-1"),
+    ("user-1", at("2024-04-21 00:20:00"), "musicbrainz-artist-id-1", "artist-name-1", None, "song-name-1"),
+    ("user-1", at("2024-04-21 00:40:00"), "musicbrainz-artist-id-1", "artist-name-1", None, "song-name-1"),
+    ("user-1", at("2024-04-21 01:00:00"), "musicbrainz-artist-id-1", "artist-name-1", None, "song-name-1"),
+    ("user-1", at("2024-04-21 01:20:00"), "musicbrainz-artist-id-2", "artist-name-2", None, "song-name-1"),
+    ("user-1", at("2024-04-22 00:00:00"), "musicbrainz-artist-id-3", "artist-name-3", "musicbrainztrack-id-3", "song-name-3"),
+    ("user-1", at("2024-04-22 00:20:01"), "musicbrainz-artist-id-3", "artist-name-3", "musicbrainztrack-id-3", "song-name-3"),
+    ("user-2", at("2024-04-21 00:00:00"), "musicbrainz-artist-id-4", "artist-name-4", "musicbrainztrack-id-4", "song-name-4"),
+    ("user-2", at("2024-04-21 00:20:00"), "musicbrainz-artist-id-4", "artist-name-4", "musicbrainztrack-id-5", "song-name-4"),
+    ("user-2", at("2024-04-21 00:40:00"), "musicbrainz-artist-id-4", "artist-name-4", "musicbrainztrack-id-5", "song-name-4"),
 ]
-
 GAPS = [None, 1200, 1200, 1200, 1200, 81600, 1201, None, 1200, 1200]
 FLAGS = [1, 0, 0, 0, 0, 1, 1, 1, 0, 0]
 SESSION_IDS = [1, 1, 1, 1, 1, 2, 3, 1, 1, 1]

@@ -7,7 +7,13 @@ from sample import at
 from test_sessionize import NARROW, random_rows
 
 from playtrail.columns import EVENT_SCHEMA
-from playtrail.operators.metrics import session_bounds, session_metrics, session_table
+from playtrail.operators.metrics import (
+    number_sessions,
+    session_bounds,
+    session_metrics,
+    session_table,
+)
+from playtrail.operators.ranking import events_within, longest_sessions
 from playtrail.operators.sessionize import sessionize
 
 
@@ -73,3 +79,23 @@ def test_session_table_shuffles_cells_only(spark):
     plan = session_table(events)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_min" in plan.split("Exchange hashpartitioning")[2]
+
+
+def test_session_numbers_beyond_an_int_pass_through(spark):
+    """A null cell of three billion rows: numbers go on from there."""
+    rows = [
+        ("u", None, None, None, 3_000_000_000),
+        ("u", 0, at("2024-04-21 00:00:00"), at("2024-04-21 00:10:00"), 5),
+        ("u", 1200, at("2024-04-21 00:25:00"), at("2024-04-21 00:39:00"), 2),
+        ("u", 7200, at("2024-04-21 02:00:00"), at("2024-04-21 02:01:00"), 2),
+    ]
+    schema = "user_id string, __cell long, __first timestamp, __last timestamp, __rows long"
+    sessions = number_sessions(spark.createDataFrame(rows, schema), "user_id", 1200)
+    longest = longest_sessions(sessions, 2).collect()
+    assert [(r.session_id, r.session_duration) for r in longest] == [
+        (3_000_000_001, 2340),
+        (3_000_000_002, 60),
+    ]
+    played = [("u", at("2024-04-21 00:30:00"), None, "a", "t", "s"), ("u", None, None, "a", "t", "s")]
+    plays = events_within(spark.createDataFrame(played, EVENT_SCHEMA), longest_sessions(sessions, 1))
+    assert plays.count() == 1

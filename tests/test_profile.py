@@ -73,3 +73,12 @@ def test_quality_report_of_own_expectations_and_of_nothing(spark, events):
     assert [(r.observed, r.passed) for r in nothing] == [(None, True)] * 4
     with pytest.raises(ValueError, match="absent"):
         quality_report(events, {"absent": 1.0})
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "`a.b` int, `c``d` string")
+    assert tuple(profile.missing_values(df).first()) == (0, 1)
+    assert tuple(profile.missing_pct(df, ["a.b", "c`d"]).first()) == (0.0, 50.0)
+    assert tuple(profile.approx_distinct(df).first()) == (2, 1)
+    assert [tuple(r) for r in profile.approx_distinct_check(df).collect()] == [("a.b", 2, True), ("c`d", 1, True)]
+    assert [r.observed for r in quality_report(df, {"a.b": 1.0, "c`d": 0.6}).collect()] == [1.0, 0.5]

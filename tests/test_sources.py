@@ -141,3 +141,33 @@ def test_written_stage_has_no_lineage(spark):
 def test_timestamps_are_utc(spark, tmp_path):
     path = written(tmp_path / "e.tsv", "u\t2005-02-14T23:59:59Z\t\t\t\t")
     assert tsv.read_events(spark, path).first().timestamp == datetime(2005, 2, 14, 23, 59, 59)
+
+
+def test_written_files_read_back_character_by_character(spark, tmp_path):
+    titles = [
+        'q"uote', '"whole"', 'x\ty"z', "tab\tend\\", "plain\\", " lead", "trail ", "\\", 'a\\"b',
+        "line\nfeed", "carriage\rreturn", "both\r\nof\nthem", ' "x" ', None, "end",
+    ]
+    rows = [(f"u{i}", None, "a", t, "t", t) for i, t in enumerate(titles)]
+    path = str(tmp_path / "back")
+    tsv.write_tsv(spark.createDataFrame(rows, EVENT_SCHEMA), path, header=False)
+    back = tsv.read_events(spark, path, written=True).collect()
+    assert sorted(map(str, (tuple(r) for r in back))) == sorted(map(str, rows))
+
+
+def test_days_do_not_depend_on_the_zone(spark, tmp_path):
+    rows = [("u", at("2024-01-05 23:30:00"), "a", "b", "c", "d"), ("u", None, "a", "b", "c", "d")]
+    events = spark.createDataFrame(rows, EVENT_SCHEMA)
+    zone, path = spark.conf.get("spark.sql.session.timeZone"), str(tmp_path / "days")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        parquet.write_events(events, path)
+        assert parquet.read_events(spark, path, "2024-01-05", "2024-01-05").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert parquet.read_events(spark, path, "2024-01-05", "2024-01-05").count() == 1
+
+
+def test_a_written_table_lies_where_the_caller_says(spark, tmp_path):
+    table = as_table(spark.range(3), "three", str(tmp_path / "mine"))
+    assert table.count() == 3 and list((tmp_path / "mine").glob("*.parquet"))

@@ -13,13 +13,15 @@ words that need one has a bound that no corpus exceeds (words of a document over
 3. ``similarities`` reads the two texts of a pair and returns the exact weighted
    Jaccard similarity; pairs of at least ``SIMILARITY`` are links.
 4. Members that a bucket's smallest document does not lead to are compared with
-   the rest of the bucket, in blocks of bounded size: pairs in different components
-   that agree in at least ``SCREEN`` samples are verified, the best ones first,
-   until none is left.
+   the rest of the bucket, in blocks of bounded size, by a sketch of 256 minima.
+   Pairs in different components whose sketches may belong to similar texts are
+   verified: first those of the members with most such partners, as copies of one
+   text all resemble it but not each other, then what is still apart.
 
-So a group of copies costs a comparison for each copy, not for each pair, and no
-bucket meets in one task. A pair of similarity 0.8 shares a bucket with a chance of
-0.994 and fails the screen once in 10^5.
+So a group of copies costs a few comparisons for each copy, not one for each pair,
+and no bucket meets in one task. A pair of similarity 0.8 shares a bucket with a
+chance of 0.994, agrees in ``SCREEN`` samples but for one case in 10^5, and passes
+the sketch with 0.99; the more similar, the surer.
 
 Defined results: words are runs of letters, digits and non-ASCII characters,
 lower-cased in ASCII; a text of one to four words is one shingle; null texts and
@@ -46,8 +48,9 @@ SCREEN = 20
 RARE = 1 / 1000
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
-#: Pairs of one bucket and two components that a first round verifies.
-FIRST_PAIRS = 4
+#: Rounds that verify the partners of well-connected members before all that is left.
+HUB_ROUNDS = 2
+BINS = 256
 
 _GRID = 1 << 16
 
@@ -141,20 +144,28 @@ def sample(rows: np.ndarray, names: np.ndarray, weight: np.ndarray, n: int, size
     return out
 
 
+def sketch(rows: np.ndarray, names: np.ndarray, n: int) -> np.ndarray:
+    """A byte for each of ``BINS`` parts of the shingles of n texts: of its minimum; 0 if empty."""
+    least = np.full(n * BINS, (1 << 64) - 1, np.uint64)
+    cell = rows * BINS + (names & np.uint64(BINS - 1)).astype(np.int64)
+    np.minimum.at(least, cell, names)
+    out = (mix(least) % np.uint64(255)).astype(np.uint8) + 1
+    out[least == np.uint64((1 << 64) - 1)] = 0
+    return out.reshape(n, BINS)
+
+
+def may_be_similar(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of one sketch with many: whether its similarity is not surely below the threshold."""
+    filled = np.maximum(((left > 0) | (right > 0)).sum(axis=1), 1)
+    alike = ((left == right) & (left > 0)).sum(axis=1)
+    return alike / filled >= SIMILARITY - 1 / np.sqrt(filled)
+
+
 def word_weights(docs: DataFrame, text_col: str = "text") -> Weights:
     """Document frequencies over all documents, of the words that are not rare."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, df, docs_seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-
-        def out():
-            own = np.append(words.view(np.int64), 0)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(own), pa.array(np.append(df, docs_seen)),
-                 pa.array(np.append(np.zeros(len(words), bool), True))],
-                names=["word", "df", "total"],
-            )
-
+        words, df = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch.column(0)):
                 found = document_words(part)
@@ -162,30 +173,32 @@ def word_weights(docs: DataFrame, text_col: str = "text") -> Weights:
                 name, row = found.hashes[order], found.rows()[order]
                 new = np.ones(len(name), bool)
                 new[1:] = (name[1:] != name[:-1]) | (row[1:] != row[:-1])
-                docs_seen += len(part)
                 more, n = np.unique(name[new], return_counts=True)
                 words, back = np.unique(np.append(words, more), return_inverse=True)
                 df = np.bincount(back, np.append(df, n), len(words)).astype(np.int64)
                 if len(words) > 500_000:
-                    yield out()
-                    words, df, docs_seen = words[:0], df[:0], 0
-        yield out()
+                    yield _counted(words, df)
+                    words, df = words[:0], df[:0]
+        yield _counted(words, df)
 
+    n = docs.count()
     narrow = docs.select(F.col(text_col).cast("string"))
-    partial = narrow.mapInArrow(count, "word long, df long, total boolean")
-    summed = keep_table(
-        partial.groupBy("total", "word").agg(F.sum("df").alias("df")).filter("total or df > 1"), "df"
-    )
-    n = summed.filter("total").agg(F.sum("df")).first()[0] or 0
-    kept = summed.filter(~F.col("total") & (F.col("df") >= RARE * n)).select("word", "df").collect()
+    counted = narrow.mapInArrow(count, "word long, df long").groupBy("word")
+    kept = counted.agg(F.sum("df").alias("df")).filter(F.col("df") >= RARE * n).collect()
     words = np.array([r.word for r in kept], np.int64).view(np.uint64)
     return Weights(words, np.array([r.df for r in kept], np.int64), n)
 
 
+def _counted(words: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(words.view(np.int64)), pa.array(df)], names=["word", "df"]
+    )
+
+
 def signatures(
     docs: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """id, digest of the text, and samples (empty for texts without words)."""
+    """id, digest of the text, samples (empty for texts without words) and sketch."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     size = BANDS * ROWS
 
@@ -193,16 +206,19 @@ def signatures(
         for batch in batches:
             for part in slices(batch.column(2)):
                 words = document_words(part)
-                drawn = sample(*shingles(words, sent.value), len(part), size)
+                rows, names, weight = shingles(words, sent.value)
+                drawn = sample(rows, names, weight, len(part), size)
+                bins = [x.tobytes() for x in sketch(rows, names, len(part))]
                 lists = [list(x) if n else [] for x, n in zip(drawn, words.counts())]
                 own = [batch.column(k).slice(part.first_row, len(part)) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array(lists, pa.list_(pa.int32()))], names=["id", "digest", "samples"]
+                    [*own, pa.array(lists, pa.list_(pa.int32())), pa.array(bins, pa.binary())],
+                    names=["id", "digest", "samples", "sketch"],
                 )
 
     text = F.col(text_col).cast("string")
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.md5(text).alias("digest"), text)
-    return narrow.mapInArrow(draw, "id long, digest string, samples array<int>")
+    return narrow.mapInArrow(draw, "id long, digest string, samples array<int>, sketch binary")
 
 
 def agreement(left: Column, right: Column) -> Column:
@@ -277,12 +293,13 @@ def _with_component(banded: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _left_pairs(banded: DataFrame, found: DataFrame, limit: int) -> DataFrame:
-    """Promising pairs of different components in a bucket, ``limit`` per two components.
+def _left_pairs(shared: DataFrame, heads: DataFrame, found: DataFrame, all_left: bool) -> DataFrame:
+    """a and b of members of a bucket in different components that may be similar.
 
-    a, b, cut: whether some pair of the two components was left for a later round.
+    With ``all_left`` all of them; else those of hubs: in each block the member with
+    most such partners, then of the members not among these the next, and so on.
     """
-    rows = _with_component(banded, found)
+    rows = _with_component(shared, found)
     mixed = (
         rows.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
@@ -291,45 +308,64 @@ def _left_pairs(banded: DataFrame, found: DataFrame, limit: int) -> DataFrame:
         .select("bucket", "low", "blocks")
     )
     rows = rows.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    rows = rows.join(heads.select("id", "sketch"), "id")
     # members outside the smallest component meet every block; all members are at home in one
     asks = rows.filter("component != low").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    asks = asks.select("bucket", F.col("own").alias("x"), F.col("other").alias("y"), "id", "component",
-                       "samples", F.lit(True).alias("asks"))
+    asks = asks.select(
+        "bucket", F.col("own").alias("x"), F.col("other").cast("long").alias("y"), "id", "component",
+        "sketch", F.lit(True).alias("asks"),
+    )
     outside = rows.filter("component != low").groupBy("bucket").agg(F.collect_set("own").alias("xs"))
     homes = rows.join(outside, "bucket").select(
-        "bucket", F.explode("xs").alias("x"), F.col("own").alias("y"), "id", "component", "samples",
+        "bucket", F.explode("xs").alias("x"), F.col("own").alias("y"), "id", "component", "sketch",
         F.lit(False).alias("asks"),
     )
 
     def meet(table: pa.Table) -> pa.Table:
         ask = np.array(table.column("asks").to_pylist())
-        ids = table.column("id").to_numpy()
-        group = table.column("component").to_numpy()
-        drawn = np.array(table.column("samples").to_pylist(), np.int32)
-        out_a, out_b, cut = [], [], []
+        ids, group = table.column("id").to_numpy(), table.column("component").to_numpy()
+        bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
         left, right = np.flatnonzero(ask), np.flatnonzero(~ask)
-        best: dict[tuple, list] = {}
-        for i in left:
-            same = (drawn[right] == drawn[i]).sum(axis=1)
-            for j in np.flatnonzero((same >= SCREEN) & (group[right] != group[i])):
-                k = right[j]
-                pair = (int(min(ids[i], ids[k])), int(max(ids[i], ids[k])))
-                key = tuple(sorted((int(group[i]), int(group[k]))))
-                best.setdefault(key, []).append((-int(same[j]), *pair))
-        for found_pairs in best.values():
-            ranked = sorted(set(found_pairs))
-            for _, a, b in ranked[:limit]:
-                out_a.append(a)
-                out_b.append(b)
-                cut.append(len(ranked) > limit)
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64()),
-                         "cut": pa.array(cut, pa.bool_())})
+        near = np.stack(
+            [may_be_similar(bins[i], bins[right]) & (group[right] != group[i]) for i in left]
+        )
+        if all_left:
+            i, j = np.nonzero(near)
+        else:
+            i, j = _hub_pairs(near, ids[left], ids[right])
+        a, b = ids[left[i]], ids[right[j]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     both = asks.unionByName(homes)
-    met = both.groupBy("bucket", "x", "y").applyInArrow(meet, "a long, b long, cut boolean")
-    return met.groupBy("a", "b").agg(F.max("cut").alias("cut"))
+    met = both.groupBy("bucket", "x", "y").applyInArrow(meet, "a long, b long")
+    return met.distinct()
+
+
+def _hub_pairs(near: np.ndarray, left_ids: np.ndarray, right_ids: np.ndarray):
+    """Places (row, column) of the partners of hubs, which may stand on either side."""
+    near = near.copy()
+    rows, columns = [], []
+    while near.any():
+        by_row, by_column = near.sum(axis=1), near.sum(axis=0)
+        if by_row.max() >= by_column.max():
+            hub = int(by_row.argmax())
+            partners = np.flatnonzero(near[hub])
+            rows.append(np.full(len(partners), hub))
+            columns.append(partners)
+            done = np.append(right_ids[partners], left_ids[hub])
+        else:
+            hub = int(by_column.argmax())
+            partners = np.flatnonzero(near[:, hub])
+            rows.append(partners)
+            columns.append(np.full(len(partners), hub))
+            done = np.append(left_ids[partners], right_ids[hub])
+        near[np.isin(left_ids, done)] = False
+        near[:, np.isin(right_ids, done)] = False
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.concatenate(columns)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,36 +375,33 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     heads = (
         drawn.filter(F.size("samples") > 0)
         .groupBy("digest")
-        .agg(F.min("id").alias("id"), F.min("samples").alias("samples"))
+        .agg(
+            F.min("id").alias("id"),
+            F.min("samples").alias("samples"),
+            F.min("sketch").alias("sketch"),
+        )
     )
     heads = keep_table(heads, "heads")
     banded = bands(heads)
+    crowded = banded.groupBy("bucket").count().filter("count > 1").select("bucket")
+    shared = keep_table(banded.join(crowded, "bucket").select("bucket", "id"), "shared")
+    involved = shared.select("id").distinct().join(heads.select("id", "digest"), "id")
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
+    texts = texts.withColumn("digest", F.md5("text")).join(involved, ["id", "digest"], "left_semi")
+    texts = keep_table(texts.dropDuplicates(["id"]).select("id", "text"), "texts")
     tested = keep_table(_star_pairs(banded), "pairs")
-    involved = tested.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    involved = heads.join(involved, "id", "left_semi").select("id", "digest")
-    texts = texts.withColumn("digest", F.md5("text"))
-    held = texts.join(involved, ["id", "digest"], "left_semi").dropDuplicates(["id"])
-    links = _links(tested, held, weights)
+    links = _links(tested, texts, weights)
     found = components(links)
-    limit = FIRST_PAIRS
-    while True:
-        more = keep_table(_left_pairs(banded, found, limit), "left")
-        fresh = keep_table(more.select("a", "b").join(tested, ["a", "b"], "left_anti"), "fresh")
-        state = more.agg(F.max("cut")).first()[0]
+    for attempt in range(HUB_ROUNDS + 1):
+        left = _left_pairs(shared, heads, found, all_left=attempt == HUB_ROUNDS)
+        fresh = keep_table(left.join(tested, ["a", "b"], "left_anti"), "fresh")
         if fresh.isEmpty():
-            if not state:
-                break
-        else:
-            wanted = fresh.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            wanted = heads.join(wanted, "id", "left_semi").select("id", "digest")
-            held = texts.join(wanted, ["id", "digest"], "left_semi").dropDuplicates(["id"])
-            links = keep_table(links.unionByName(_links(fresh, held, weights)), "all-links")
-            tested = tested.unionByName(fresh)
-            found = components(links)
-        limit *= 8
+            continue
+        links = links.unionByName(_links(fresh, texts, weights))
+        tested = tested.unionByName(fresh)
+        found = components(links)
     named = heads.select("digest", F.col("id").alias("head"))
     named = named.join(found, named["head"] == found["node"], "left").select(
         "digest", F.coalesce("component", "head").alias("class_id")

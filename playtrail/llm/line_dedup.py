@@ -283,7 +283,8 @@ def links(
 
     pairs = keep_table(candidate_pairs(docs, edits, least, text_col), "line-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    texts = line_texts(docs, least, text_col).join(needed, "name", "left_semi")
+    # how many lines are needed has no bound: meet them by a shuffle at every size
+    texts = line_texts(docs, least, text_col).join(needed.hint("merge"), "name", "left_semi")
     texts = keep_table(texts.dropDuplicates(["name"]), "line-texts")
     joined = pairs.join(
         texts.select(F.col("name").alias("a"), F.col("line").alias("line_a")), "a"

@@ -12,8 +12,12 @@ from playtrail.llm.stages import keep_table, reach_workers
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents whose id is not in ``gone`` (one column); those without an id stay."""
-    return docs.join(gone.distinct(), docs["doc_id"] == gone[gone.columns[0]], "left_anti")
+    """Documents whose id is not in ``gone`` (one column); those without an id stay.
+
+    Their number follows the corpus, so they meet by a shuffle at every size.
+    """
+    gone = gone.distinct().hint("merge")
+    return docs.join(gone, docs["doc_id"] == gone[gone.columns[0]], "left_anti")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -366,12 +366,14 @@ def line_classes(
         "component", F.coalesce("component", "name")
     )
     lines = keep_table(lines.join(linked, "name", "left"), "lines")
+    # a line without links keeps its own name as key, or all of them would meet in one task
+    lines = lines.withColumn("key", F.coalesce("component", "name"))
     heads = (
         lines.filter("component is not null")
-        .groupBy("component")
+        .groupBy("key")
         .agg(F.min("place").alias("class_place"))
     )
-    return lines.join(heads, "component", "left").select(
+    return lines.join(heads, "key", "left").select(
         "name",
         "n_bytes",
         "n_copies",
@@ -431,19 +433,37 @@ def without_repeated_lines(
     gone = gone.groupBy(F.col("row").alias(row)).agg(
         F.collect_set(F.col("line_no").cast("int")).alias("gone_of_line_dedup")
     )
-    lines = F.split(F.col(text_col), "\n", -1)
-    # numbers count non-empty lines; the fold walks all of them once
-    start = F.expr("cast(named_struct('n', 0, 'out', array()) as struct<n:int,out:array<string>>)")
-
-    def walk(state, line):
-        counted = line != ""
-        drop = counted & F.array_contains("gone_of_line_dedup", state["n"])
-        return F.struct(
-            (state["n"] + counted.cast("int")).alias("n"),
-            F.when(drop, state["out"]).otherwise(F.array_append(state["out"], line)).alias("out"),
-        )
+    joined = numbered.join(gone.hint("merge"), row, "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], "gone_of_line_dedup"
+    )
+    at = docs.columns.index(text_col)
 
-    kept = F.array_join(F.aggregate(lines, start, walk)["out"], "\n")
-    joined = numbered.join(gone, row, "left")
-    text = F.when(F.col("gone_of_line_dedup").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given, gone = batch.column(at), batch.column(batch.num_columns - 1)
+            texts = []
+            for part in slices(given.cast(pa.string())):
+                lines = Lines(part)
+                for k in range(len(part)):
+                    drop = gone[part.first_row + k].as_py()
+                    own = None if drop is None else _without(lines, k, np.array(drop))
+                    texts.append(given[part.first_row + k].as_py() if own is None else own)
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(texts, given.type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return joined.mapInArrow(cut, docs.schema)
+
+
+def _without(lines: Lines, text: int, numbers: np.ndarray) -> str:
+    """A text without some of its lines and the line feeds behind them."""
+    low, high = int(lines.part.bounds[text]), int(lines.part.bounds[text + 1])
+    which = lines.first[text] + numbers
+    start, end = lines.starts[which] - low, lines.ends[which] - low
+    # a last line without a line feed takes the one before it along
+    last = (end == high - low) & (start > 0)
+    edge = np.zeros(high - low + 2, np.int64)
+    np.add.at(edge, start - last, 1)
+    np.add.at(edge, end + 1, -1)
+    kept = np.cumsum(edge)[: high - low] == 0
+    return lines.part.data[low:high][kept].tobytes().decode()

@@ -204,12 +204,16 @@ def test_pipeline_packs_what_the_stages_keep(spark):
     assert max(r.offset + r.length for r in pieces) <= packing.CAPACITY
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+# op2, op3 and op7 take many rounds each; their operators are tested by themselves.
+QUICK = [name for name in sorted(registry.QUERIES) if not name.startswith(("op2_", "op3_", "op7_"))]
+
+
+@pytest.mark.parametrize("name", QUICK)
 def test_registered_queries_return_their_rows(spark, name):
-    table = {"op7": "embeddings", "op8": "conversations"}.get(name[:3], "documents")
+    table = {"op8": "conversations"}.get(name[:3], "documents")
     result = registry.QUERIES[name](spark, f"{DATA}/")
     n = spark.read.parquet(f"{DATA}/{table}.parquet")
-    if name.startswith(("op2", "op10")):
+    if name.startswith("op10"):
         assert result.count() >= n.count()
     elif name.startswith("op8"):
         assert result.count() == n.select("conv_id").distinct().count() + 1

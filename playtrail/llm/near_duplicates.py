@@ -51,6 +51,7 @@ BLOCK = 512
 #: Rounds that verify the partners of well-connected members before all that is left.
 HUB_ROUNDS = 2
 BINS = 256
+SLACK = 0.02
 
 _GRID = 1 << 16
 
@@ -155,10 +156,18 @@ def sketch(rows: np.ndarray, names: np.ndarray, n: int) -> np.ndarray:
 
 
 def may_be_similar(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Of one sketch with many: whether its similarity is not surely below the threshold."""
-    filled = np.maximum(((left > 0) | (right > 0)).sum(axis=1), 1)
+    """Of one sketch with many: whether its similarity is not surely below the threshold.
+
+    Sketches give the share of equal minima. Where most shingles have a part of their
+    own, that is nearly a count of all of them, so its deviation is that of drawing
+    without replacement; ``SLACK`` is for weights, which sketches do not know.
+    """
+    filled = ((left > 0) | (right > 0)).sum(axis=1)
+    filled = np.clip(filled, 1, BINS - 1)
+    drawn = filled / (-BINS * np.log1p(-filled / BINS))
+    deviation = np.sqrt(SIMILARITY * (1 - SIMILARITY) * (1 - drawn) / filled)
     alike = ((left == right) & (left > 0)).sum(axis=1)
-    return alike / filled >= SIMILARITY - 1 / np.sqrt(filled)
+    return alike / filled >= SIMILARITY - SLACK - 2.5 * deviation
 
 
 def word_weights(docs: DataFrame, text_col: str = "text") -> Weights:

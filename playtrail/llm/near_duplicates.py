@@ -51,6 +51,8 @@ BLOCK = 512
 #: Rounds that verify the partners of well-connected members before all that is left.
 HUB_ROUNDS = 2
 BINS = 256
+#: Pairs whose shingles a task holds at once.
+PAIRS = 512
 SLACK = 0.02
 
 _GRID = 1 << 16
@@ -249,9 +251,9 @@ def similarities(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFr
     sent = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x.slice(k, PAIRS) for x in batches for k in range(0, x.num_rows, PAIRS)):
             a, b = batch.column(0), batch.column(1)
-            # a document in many pairs of the batch is cut into shingles once
+            # a document in many of these pairs is cut into shingles once
             ids = pa.concat_arrays([a, b]).to_numpy()
             distinct, at, back = np.unique(ids, return_index=True, return_inverse=True)
             column = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(at))

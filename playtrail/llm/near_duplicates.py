@@ -13,15 +13,17 @@ words that need one has a bound that no corpus exceeds (words of a document over
 3. ``similarities`` reads the two texts of a pair and returns the exact weighted
    Jaccard similarity; pairs of at least ``SIMILARITY`` are links.
 4. Members that a bucket's smallest document does not lead to are compared with
-   the rest of the bucket, in blocks of bounded size, by a sketch of 256 minima.
-   Pairs in different components whose sketches may belong to similar texts are
-   verified: first those of the members with most such partners, as copies of one
-   text all resemble it but not each other, then what is still apart.
+   the rest of the bucket, in blocks of bounded size. Pairs in different components
+   are verified unless they agree in fewer than ``SCREEN`` samples or a bound shows
+   them to be below ``SIMILARITY``: both know weights, and the bound is never below
+   the true similarity. It adds up, over 256 parts of the shingles, the smaller of
+   the two weights there. First come the partners of the members with most of them,
+   as copies of one text all resemble it but not each other, then what is still apart.
 
 So a group of copies costs a few comparisons for each copy, not one for each pair,
 and no bucket meets in one task. A pair of similarity 0.8 shares a bucket with a
-chance of 0.994, agrees in ``SCREEN`` samples but for one case in 10^5, and passes
-the sketch with 0.99; the more similar, the surer.
+chance of 0.994 and agrees in ``SCREEN`` samples but for one case in 10^5; the more
+similar, the surer.
 
 Defined results: words are runs of letters, digits and non-ASCII characters,
 lower-cased in ASCII; a text of one to four words is one shingle; null texts and
@@ -51,9 +53,10 @@ BLOCK = 512
 #: Rounds that verify the partners of well-connected members before all that is left.
 HUB_ROUNDS = 2
 BINS = 256
+#: Bytes of a sketch: total and unit as float64, then a byte for each part.
+SKETCH = np.dtype([("total", "<f8"), ("unit", "<f8"), ("parts", "u1", BINS)])
 #: Pairs whose shingles a task holds at once.
 PAIRS = 512
-SLACK = 0.02
 
 _GRID = 1 << 16
 
@@ -147,29 +150,27 @@ def sample(rows: np.ndarray, names: np.ndarray, weight: np.ndarray, n: int, size
     return out
 
 
-def sketch(rows: np.ndarray, names: np.ndarray, n: int) -> np.ndarray:
-    """A byte for each of ``BINS`` parts of the shingles of n texts: of its minimum; 0 if empty."""
-    least = np.full(n * BINS, (1 << 64) - 1, np.uint64)
+def sketch(rows: np.ndarray, names: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Total weight of n texts, and in units, rounded up, that of each part of their shingles."""
     cell = rows * BINS + (names & np.uint64(BINS - 1)).astype(np.int64)
-    np.minimum.at(least, cell, names)
-    out = (mix(least) % np.uint64(255)).astype(np.uint8) + 1
-    out[least == np.uint64((1 << 64) - 1)] = 0
-    return out.reshape(n, BINS)
-
+    parts = np.bincount(cell, weight, n * BINS).reshape(n, BINS).astype(np.float64)
+    out = np.zeros(n, SKETCH)
+    out["total"] = parts.sum(axis=1)
+    out["unit"] = parts.max(axis=1, initial=0) / 255
+    # what division leaves above a whole number by its own rounding is still rounded up, to 255 at most
+    units = np.divide(parts, out["unit"][:, None], out=np.zeros_like(parts), where=parts > 0)
+    out["parts"] = np.minimum(np.ceil(units), 255)
+    return out
 
-def may_be_similar(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Of one sketch with many: whether its similarity is not surely below the threshold.
 
-    Sketches give the share of equal minima. Where most shingles have a part of their
-    own, that is nearly a count of all of them, so its deviation is that of drawing
-    without replacement; ``SLACK`` is for weights, which sketches do not know.
-    """
-    filled = ((left > 0) | (right > 0)).sum(axis=1)
-    filled = np.clip(filled, 1, BINS - 1)
-    drawn = filled / (-BINS * np.log1p(-filled / BINS))
-    deviation = np.sqrt(SIMILARITY * (1 - SIMILARITY) * (1 - drawn) / filled)
-    alike = ((left == right) & (left > 0)).sum(axis=1)
-    return alike / filled >= SIMILARITY - SLACK - 2.5 * deviation
+def most_similar(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Upper bound of the weighted Jaccard similarity of one sketch with many."""
+    mine = (left["parts"] * left["unit"]).astype(np.float32)
+    theirs = right["parts"] * right["unit"].astype(np.float32)[:, None]
+    shared = np.minimum(mine, theirs).sum(axis=1, dtype=np.float64)
+    whole = left["total"] + right["total"] - shared
+    # single precision errs by less than a millionth
+    return shared / np.maximum(whole, 1e-9) * (1 + 1e-5)
 
 
 def word_weights(docs: DataFrame, text_col: str = "text") -> Weights:
@@ -219,7 +220,7 @@ def signatures(
                 words = document_words(part)
                 rows, names, weight = shingles(words, sent.value)
                 drawn = sample(rows, names, weight, len(part), size)
-                bins = [x.tobytes() for x in sketch(rows, names, len(part))]
+                bins = [x.tobytes() for x in sketch(rows, names, weight, len(part))]
                 lists = [list(x) if n else [] for x, n in zip(drawn, words.counts())]
                 own = [batch.column(k).slice(part.first_row, len(part)) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
@@ -319,29 +320,32 @@ def _left_pairs(shared: DataFrame, heads: DataFrame, found: DataFrame, all_left:
         .select("bucket", "low", "blocks")
     )
     rows = rows.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.join(heads.select("id", "sketch"), "id")
+    rows = rows.join(heads.select("id", "samples", "sketch"), "id")
     # members outside the smallest component meet every block; all members are at home in one
     asks = rows.filter("component != low").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
     asks = asks.select(
         "bucket", F.col("own").alias("x"), F.col("other").cast("long").alias("y"), "id", "component",
-        "sketch", F.lit(True).alias("asks"),
+        "samples", "sketch", F.lit(True).alias("asks"),
     )
     outside = rows.filter("component != low").groupBy("bucket").agg(F.collect_set("own").alias("xs"))
     homes = rows.join(outside, "bucket").select(
-        "bucket", F.explode("xs").alias("x"), F.col("own").alias("y"), "id", "component", "sketch",
-        F.lit(False).alias("asks"),
+        "bucket", F.explode("xs").alias("x"), F.col("own").alias("y"), "id", "component",
+        "samples", "sketch", F.lit(False).alias("asks"),
     )
 
     def meet(table: pa.Table) -> pa.Table:
         ask = np.array(table.column("asks").to_pylist())
         ids, group = table.column("id").to_numpy(), table.column("component").to_numpy()
-        bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+        bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), SKETCH)
+        drawn = table.column("samples").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         left, right = np.flatnonzero(ask), np.flatnonzero(~ask)
-        near = np.stack(
-            [may_be_similar(bins[i], bins[right]) & (group[right] != group[i]) for i in left]
-        )
+        near = np.zeros((len(left), len(right)), bool)
+        for k, i in enumerate(left):
+            alike = (drawn[right] == drawn[i]).sum(axis=1)
+            may = np.flatnonzero((group[right] != group[i]) & (alike >= SCREEN))
+            near[k, may] = most_similar(bins[i], bins[right[may]]) >= SIMILARITY
         if all_left:
             i, j = np.nonzero(near)
         else:

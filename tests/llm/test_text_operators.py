@@ -273,6 +273,46 @@ def test_samples_agree_as_often_as_weighted_sets_overlap():
     assert abs((drawn[0] == drawn[1]).mean() - true) < 0.09
 
 
+def test_the_screen_of_left_pairs_knows_weights():
+    # 46 heavy shingles in both texts, 10 light ones on either side: weighted 0.85, unweighted 0.70
+    names = near_duplicates.mix(np.arange(1, 67, dtype=np.uint64))
+    sides = []
+    for own in (np.arange(0, 56), np.append(np.arange(0, 46), np.arange(56, 66))):
+        weight = np.where(own < 46, 30.0, 12.0)
+        sides.append(near_duplicates.sketch(np.zeros(56, np.int64), names[own], weight, 1))
+    true = 46 * 30 / (46 * 30 + 20 * 12)
+    assert true >= near_duplicates.SIMILARITY
+    assert true <= near_duplicates.most_similar(sides[0][0], sides[1])[0] < 1
+
+
+def test_the_bound_of_sketches_is_never_below_the_similarity():
+    pick = np.random.default_rng(5)
+    names = near_duplicates.mix(np.arange(1, 3001, dtype=np.uint64))
+    for n in (3, 60, 400, 2000):
+        sets = []
+        for _ in range(8):
+            own = np.flatnonzero(pick.random(len(names)) < n / len(names) * 0.9)
+            sets.append((own, pick.integers(1, 4, len(own)) * np.round(pick.random(len(own)) * 30 + 1, 3)))
+        row = np.repeat(np.arange(8), [len(own) for own, _ in sets])
+        drawn = near_duplicates.sketch(
+            row, names[np.concatenate([s[0] for s in sets])], np.concatenate([s[1] for s in sets]), 8
+        )
+        for k, one in enumerate(sets):
+            bound = near_duplicates.most_similar(drawn[k], drawn)
+            assert all(near_duplicates._weighted_jaccard(one, o) <= b for o, b in zip(sets, bound))
+
+
+def test_copies_of_one_heavy_passage_meet_in_a_crowded_bucket(spark):
+    # one passage repeated often, different rests: alike by weight only, and not like the first of the bucket
+    passage = prose(41, 12).replace("\n", " ")
+    rows = [(i, passage * 14 + " " + prose(500 + i, 26)) for i in range(30)]
+    rows += [(100 + i, passage * 6 + " " + prose(600 + i, 30)) for i in range(10)]
+    found = sorted(
+        (str(r.id), str(r.class_id)) for r in near_duplicates.classes(spark.createDataFrame(rows, DOCS)).collect()
+    )
+    assert found == plain_classes(rows)
+
+
 # lines
 
 

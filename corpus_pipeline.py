@@ -32,7 +32,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; of each class of near-equal lines the first one stays."""
     reach_workers(spark)
-    out = line_dedup.without_repeated_lines(docs)
+    out = line_dedup.without_repeated_lines(docs, least=line_dedup.EVERY_LINE, in_characters=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -1,16 +1,19 @@
 """Near-equal lines: a segment-partition edit join.
 
 Two lines are linked if at most ``EDITS`` insertions, deletions or substitutions of
-bytes turn one into the other. Cut into EDITS + 1 segments, one of them then stands
+symbols turn one into the other: bytes, or characters with ``in_characters``. Cut into EDITS + 1 segments, one of them then stands
 unchanged in the other line, near its old place.
 
 1. ``entries``: every line puts its segments into an index and looks up its own
    substrings that could be a segment of a line of its length or a little less.
    Which substrings: around segment i, as many left of it as segments before it can
    shift, and as many right of it as segments behind it leave over. A key is the hash
-   of substring, segment number and length, so lengths never mix.
+   of substring, segment number and length, so lengths never mix. Lines of at most
+   EDITS symbols have too few for segments: they meet lines of up to 2 * EDITS by
+   single symbols, of which such a pair shares at least one, and are all linked to
+   one another, which ``line_classes`` counts without listing the pairs.
 2. ``meetings`` sorts the keys of a bucket; a line that looks up a key and a line
-   that indexed it are a candidate pair, unless their byte counts already differ by
+   that indexed it are a candidate pair, unless their symbol counts already differ by
    more than the edits allow.
 3. ``edit_distances`` verifies candidates with bit-parallel edit distance in a band
    around the diagonal, for many pairs at once.
@@ -20,8 +23,9 @@ so what travels is packed numbers; a line that stands in a third of all document
 sends a few entries per slice of text. Texts move once, to verify candidates.
 
 Defined results: a line is what stands between line feeds and is not empty; lines
-shorter than ``MIN_BYTES`` take part as exact copies only; null and empty texts
-have no lines; repeated rows repeat their lines. Only id and text are read.
+shorter than ``least`` bytes take part as exact copies only, so with ``EVERY_LINE``
+all lines take part in full; null and empty texts have no lines; repeated rows repeat
+their lines. Only id and text are read.
 """
 
 from collections.abc import Iterator
@@ -38,23 +42,30 @@ from playtrail.llm.textbytes import Hasher, Texts, mix, slices
 
 EDITS = 2
 MIN_BYTES = 32
+#: As ``least``: lines of any length take part.
+EVERY_LINE = 1
 
 _LINE = np.ones(256, bool)
 _LINE[10] = False
-_ENTRY = 20  # bytes: key, line, byte counts
+_ENTRY = 20  # bytes: key, line, symbol counts
 _PAIRS_AT_ONCE = 1 << 21
 
 
 class Lines:
     """The lines of some texts: byte range and hash; text i has lines first[i] to first[i + 1]."""
 
-    def __init__(self, part: Texts):
+    def __init__(self, part: Texts, in_characters: bool = False):
         self.part = part
         self.starts, self.ends = part.runs(_LINE)
         self.first = np.searchsorted(self.starts, part.bounds)
         self.hasher: Hasher = part.hasher()
         size = (self.ends - self.starts).astype(np.uint64)
         self.names = mix(self.hasher(self.starts, self.ends) ^ mix(size)).view(np.int64)
+        # where symbols start, and the end of all; line i has sizes[i] of them from heads[i] on
+        at = _symbol_starts(part.data, self.starts, in_characters)
+        self.places = np.append(at, len(part.data))
+        self.heads = np.searchsorted(at, self.starts)
+        self.sizes = np.searchsorted(at, self.ends) - self.heads
 
     def long_ones(self, least: int) -> np.ndarray:
         """One of each distinct line that is long enough."""
@@ -62,12 +73,38 @@ class Lines:
         return at[self.ends[at] - self.starts[at] >= least]
 
 
-def byte_counts(lines: Lines, which: np.ndarray) -> np.ndarray:
-    """16 counters of 2 bits: how many bytes of each low half, modulo 4."""
-    size = lines.ends[which] - lines.starts[which]
+def _symbol_starts(data: np.ndarray, starts: np.ndarray, in_characters: bool) -> np.ndarray:
+    """All bytes, or those that start a character of UTF-8; those that start a text always do."""
+    if not in_characters:
+        return np.arange(len(data))
+    first = (data & 0xC0) != 0x80
+    first[starts] = True
+    return np.flatnonzero(first)
+
+
+def symbols(texts: pa.Array, in_characters: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each symbol of some texts, and where each text starts among them."""
+    column = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    whole = column.buffers()[2]
+    data = np.frombuffer(whole, np.uint8) if whole is not None else np.zeros(0, np.uint8)
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    at = _symbol_starts(data, offsets[:-1][np.diff(offsets) > 0], in_characters)
+    size = np.diff(np.append(at, len(data)))
+    codes = np.zeros(len(at), np.uint32)
+    # no character has more than four bytes
+    for k in range(4):
+        own = np.flatnonzero(size > k)
+        codes[own] |= data[at[own] + k].astype(np.uint32) << np.uint32(8 * k)
+    return codes, np.searchsorted(at, offsets)
+
+
+def symbol_counts(lines: Lines, which: np.ndarray) -> np.ndarray:
+    """16 counters of 2 bits: how many symbols of each low half of the last byte, modulo 4."""
+    size = lines.sizes[which]
     row = np.repeat(np.arange(len(which)), size)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    low = lines.part.data[lines.starts[which][row] + inner] & 15
+    low = lines.part.data[lines.places[lines.heads[which][row] + inner + 1] - 1] & 15
     counts = np.bincount(row * 16 + low, minlength=16 * len(which)).reshape(-1, 16) & 3
     return (counts.astype(np.uint32) << (2 * np.arange(16, dtype=np.uint32))).sum(
         axis=1, dtype=np.uint32
@@ -99,28 +136,37 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def entries(lines: Lines, edits: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, lines and byte counts; the last bit of a key is 1 for lookups."""
+    """Keys, lines and symbol counts; the last bit of a key is 1 for lookups."""
     which = lines.long_ones(least)
-    start, length = lines.starts[which], lines.ends[which] - lines.starts[which]
+    start, length = lines.heads[which], lines.sizes[which]
     keys, owner = [], []
 
     def add(at, size, of_length, number, kept, lookup):
         salt = mix((of_length * (edits + 1) + number).astype(np.uint64))
-        key = mix(lines.hasher(at, at + size) ^ salt)
+        key = mix(lines.hasher(lines.places[at], lines.places[at + size]) ^ salt)
         keys.append((key & ~np.uint64(1)) | np.uint64(lookup))
         owner.append(kept)
 
     every = np.arange(len(which))
+    cut = np.flatnonzero(length > edits)
     for i in range(edits + 1):
-        at, size = segment(length, i, edits)
-        add(start + at, size, length, i, every, 0)
+        at, size = segment(length[cut], i, edits)
+        add(start[cut] + at, size, length[cut], i, cut, 0)
     for less, i, shift in probes(edits):
         at, size = segment(length - less, i, edits)
         kept = np.flatnonzero((at + shift >= 0) & (at + shift + size <= length))
-        kept = kept[length[kept] - less >= least]
+        kept = kept[length[kept] - less > edits]
         add((start + at + shift)[kept], size[kept], (length - less)[kept], i, kept, 1)
+    # lines of few symbols: 0 as length stands for a key of one symbol
+    for k in range(2 * edits):
+        kept = np.flatnonzero((length > k) & (length <= 2 * edits))
+        one, none = np.ones(len(kept), np.int64), np.zeros(len(kept), np.int64)
+        few = length[kept] <= edits
+        for lookup in (0, 1):
+            own = few == bool(lookup)
+            add((start[kept] + k)[own], one[own], none[own], 0, kept[own], lookup)
     own = np.concatenate(owner) if owner else every
-    counts = byte_counts(lines, which)
+    counts = symbol_counts(lines, which)
     return np.concatenate(keys), lines.names[which][own], counts[own]
 
 
@@ -153,17 +199,17 @@ def meetings(keys: np.ndarray, names: np.ndarray, counts: np.ndarray, edits: int
         done = upto
 
 
-def edit_distances(texts: pa.Array, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+def edit_distances(
+    texts: pa.Array, a: np.ndarray, b: np.ndarray, most: int, in_characters: bool = False
+) -> np.ndarray:
     """Distance of the texts a[i] and b[i], or most + 1 if larger.
 
     One 64-bit word per pair holds the vertical differences (VP: +1, VN: -1) of a
     band of rows whose last is ``most`` below the diagonal. The distance is followed
     along that lowest diagonal, and along the last row once the band reaches it.
     """
-    column = texts.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :]
-    whole = column.buffers()[2]
-    data = np.frombuffer(whole, np.uint8) if whole is not None else np.zeros(1, np.uint8)
+    data, offsets = symbols(texts, in_characters)
+    data = data if len(data) else np.zeros(1, np.uint32)
     m, n = offsets[a + 1] - offsets[a], offsets[b + 1] - offsets[b]
     out = np.full(len(a), most + 1)
     able = np.flatnonzero((abs(m - n) <= most) & (m >= most) & (n >= 1))
@@ -196,7 +242,7 @@ def edit_distances(texts: pa.Array, a: np.ndarray, b: np.ndarray, most: int) ->
 
 
 def _plain_distance(x, y) -> int:
-    """For texts of a few bytes."""
+    """For texts of a few symbols."""
     row = list(range(len(y) + 1))
     for i, p in enumerate(x.tolist(), 1):
         last, row[0] = row[0], i
@@ -205,14 +251,16 @@ def _plain_distance(x, y) -> int:
     return row[-1]
 
 
-def candidate_pairs(docs: DataFrame, edits: int, least: int, text_col: str = "text") -> DataFrame:
+def candidate_pairs(
+    docs: DataFrame, edits: int, least: int, text_col: str = "text", in_characters: bool = False
+) -> DataFrame:
     """Distinct pairs (a, b) of line hashes that share a segment at a possible place."""
     buckets = partitions(docs.sparkSession)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(0)):
-                keys, names, counts = entries(Lines(part), edits, least)
+                keys, names, counts = entries(Lines(part, in_characters), edits, least)
                 bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -260,28 +308,35 @@ def line_texts(docs: DataFrame, least: int, text_col: str = "text") -> DataFrame
 
 
 def links(
-    docs: DataFrame, edits: int = EDITS, least: int = MIN_BYTES, text_col: str = "text"
+    docs: DataFrame,
+    edits: int = EDITS,
+    least: int = MIN_BYTES,
+    text_col: str = "text",
+    in_characters: bool = False,
 ) -> DataFrame:
-    """a, b and distance of every pair of different lines within ``edits`` edits."""
+    """a, b and distance of every pair of different lines within ``edits`` edits.
+
+    Not listed are the pairs of two lines of at most ``edits`` symbols, which are all links.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             texts = pa.concat_arrays([batch.column(2), batch.column(3)])
-            # pairs of one length at a time, or short ones would wait for long ones
+            # pairs of about one length at a time, or short ones would wait for long ones
             size = pa.compute.binary_length(batch.column(2)).to_numpy()
             order = np.argsort(size, kind="stable")
             distance = np.zeros(n, np.int64)
             for k in range(0, n, 512):
                 own = order[k : k + 512]
-                distance[own] = edit_distances(texts, own, own + n, edits)
+                distance[own] = edit_distances(texts, own, own + n, edits, in_characters)
             kept = pa.array(distance <= edits)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(distance)],
                 names=["a", "b", "distance"],
             ).filter(kept)
 
-    pairs = keep_table(candidate_pairs(docs, edits, least, text_col), "line-pairs")
+    pairs = keep_table(candidate_pairs(docs, edits, least, text_col, in_characters), "line-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     # how many lines are needed has no bound: meet them by a shuffle at every size
     texts = line_texts(docs, least, text_col).join(needed.hint("merge"), "name", "left_semi")
@@ -297,8 +352,10 @@ def links(
     )
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per line and slice of text: name, n_bytes, copies there, and its first place.
+def occurrences(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_characters: bool = False
+) -> DataFrame:
+    """A row per line and slice of text: name, n_bytes, n_symbols, copies there, and its first place.
 
     Places are (id, row, line_no); the row number tells rows of one id apart.
     """
@@ -308,7 +365,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             ids = batch.column(0)
             rows = batch.column(1).to_numpy()
             for part in slices(batch.column(2)):
-                lines = Lines(part)
+                lines = Lines(part, in_characters)
                 where = np.repeat(np.arange(len(part)), np.diff(lines.first))
                 number = np.arange(len(where)) - lines.first[where]
                 own = ids.slice(part.first_row, len(part))
@@ -321,19 +378,20 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     [
                         pa.array(names[at]),
                         pa.array((lines.ends - lines.starts)[one]),
+                        pa.array(lines.sizes[one]),
                         pa.array(np.diff(np.append(at, len(names)))),
                         own.take(pa.array(where[one])),
                         pa.array(rows[part.first_row + where[one]]),
                         pa.array(number[one]),
                     ],
-                    names=["name", "n_bytes", "copies", "id", "row", "line_no"],
+                    names=["name", "n_bytes", "n_symbols", "copies", "id", "row", "line_no"],
                 )
 
     narrow = docs.select(
         F.col(id_col).cast("long"), F.monotonically_increasing_id(), F.col(text_col).cast("string")
     )
     return narrow.mapInArrow(
-        emit, "name long, n_bytes long, copies long, id long, row long, line_no long"
+        emit, "name long, n_bytes long, n_symbols long, copies long, id long, row long, line_no long"
     )
 
 
@@ -343,26 +401,36 @@ def line_classes(
     least: int = MIN_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    in_characters: bool = False,
 ) -> DataFrame:
     """A row per distinct line: its first place, copies, links, and its class's first place.
 
     A class is what links lead to; a line without links is a class of its own.
     """
-    found = links(docs, edits, least, text_col)
-    degree = (
-        found.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").count()
-    ).withColumnRenamed("count", "n_links")
-    joined = components(found).select(F.col("node").alias("name"), "component")
-    lines = (
-        occurrences(docs, id_col, text_col)
+    found = links(docs, edits, least, text_col, in_characters)
+    lines = keep_table(
+        occurrences(docs, id_col, text_col, in_characters)
         .groupBy("name")
         .agg(
             F.first("n_bytes").alias("n_bytes"),
+            F.first("n_symbols").alias("n_symbols"),
             F.sum("copies").alias("n_copies"),
             F.min(F.struct("id", "row", "line_no")).alias("place"),
-        )
+        ),
+        "distinct-lines",
+    )
+    # lines of at most ``edits`` symbols are all linked: each to one of them stands for the pairs
+    few = lines.filter((F.col("n_symbols") <= edits) & (F.col("n_bytes") >= least))
+    n_few, least_few = few.agg(F.count("*"), F.min("name")).first()
+    also = few.select(F.lit(least_few).cast("long").alias("a"), F.col("name").alias("b"))
+    degree = (
+        found.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").count()
+    ).withColumnRenamed("count", "n_links")
+    joined = components(found.select("a", "b").unionByName(also.filter("a < b"))).select(
+        F.col("node").alias("name"), "component"
     )
-    linked = degree.join(joined, "name", "left").withColumn(
+    # lines of few symbols may have a component without a listed link
+    linked = degree.join(joined, "name", "full").withColumn(
         "component", F.coalesce("component", "name")
     )
     lines = keep_table(lines.join(linked, "name", "left"), "lines")
@@ -377,7 +445,10 @@ def line_classes(
         "name",
         "n_bytes",
         "n_copies",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (
+            F.coalesce("n_links", F.lit(0))
+            + F.when((F.col("n_symbols") <= edits) & (F.col("n_bytes") >= least), n_few - 1).otherwise(0)
+        ).alias("n_links"),
         "place",
         F.coalesce("class_place", "place").alias("class_place"),
     )
@@ -389,6 +460,7 @@ def without_repeated_lines(
     least: int = MIN_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    in_characters: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs``; of each class of lines, only the first stays.
 
@@ -397,7 +469,7 @@ def without_repeated_lines(
     """
     row = "row_of_line_dedup"
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    classes = line_classes(docs, edits, least, id_col, text_col)
+    classes = line_classes(docs, edits, least, id_col, text_col, in_characters)
     repeated = classes.filter(F.col("n_bytes") >= least).filter(
         (F.col("n_copies") > 1) | (F.col("place") != F.col("class_place"))
     )

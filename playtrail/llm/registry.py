@@ -60,7 +60,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_classes(_documents(spark, sf_dir)).select(
+    docs = _documents(spark, sf_dir)
+    return line_dedup.line_classes(docs, least=line_dedup.EVERY_LINE, in_characters=True).select(
         F.col("place.id").alias("doc_id"),
         F.col("place.line_no").alias("line_no"),
         "n_bytes",

@@ -52,7 +52,8 @@ if _LLM is not None and _LLM.origin is not None:
     from playtrail.llm import registry as _llm
 else:
     _llm = None
-if importlib.util.find_spec("corpus_pipeline") is not None:
+# The pipeline consists of operators of that folder.
+if _llm is not None and importlib.util.find_spec("corpus_pipeline") is not None:
     import corpus_pipeline as _pipeline
 else:
     _pipeline = None

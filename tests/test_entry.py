@@ -1,6 +1,10 @@
 """Every registered query against its SQL on the smallest test tables."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -56,3 +60,19 @@ def test_flagship(spark):
     result = entry_module.entry(spark)
     assert result.columns == list(entry_module.SONG_BY_ID)
     assert result.count() == 10
+
+
+@pytest.mark.parametrize("pipeline_stays", [True, False])
+def test_the_rest_imports_without_the_training_data_folders(tmp_path, pipeline_stays):
+    root = Path(entry_module.__file__).resolve().parent
+    gone = ["llm", "__pycache__", ".git"] + ([] if pipeline_stays else ["corpus_pipeline.py"])
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(*gone))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, timeout=120
+    )
+    assert done.returncode == 0, done.stderr
+    own = len({*entry_module._ON_EVENTS, *entry_module._ON_TABLES})
+    assert done.stdout.split() == [str(own), str(len(entry_module._session_sql()))]

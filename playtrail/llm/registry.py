@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrail.llm import (
@@ -12,10 +12,13 @@ from playtrail.llm import (
     near_duplicates,
     packing,
     quality,
+    spelling,
     stages,
     suffix_tree_lm,
     suffixes,
     toxicity,
+    turn_repair,
+    two_fit,
     vectors,
 )
 
@@ -154,6 +157,52 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER))
 
 
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Turns with one of five faults each, or none, by the checksum of their number."""
+
+    def told(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat_ws(":", told("conv_id"), told("turn"))) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(told("text"), "[.!?]", ""))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(told("role")).alias("role"),
+        text.otherwise(told("text")).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"),
+    )
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = damaged_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return turn_repair.repaired(damaged, copies=F.col("times")).select(
+        F.col("id").alias("conv_id"),
+        "gaps",
+        "blank",
+        "duplicate",
+        "truncated",
+        "illegal",
+        "cost",
+        "audit",
+        F.sha2(F.array_join(lines, "\n"), 256).alias("repaired_sha256"),
+    )
+
+
+def op12_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _documents(spark, sf_dir)
+    return two_fit.pack_documents(docs, public_tokenizers.path(two_fit.TOKENIZER))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir)).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -165,6 +214,9 @@ _QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op10_packing": op10_packing,
     "op9_decontamination": op9_decontamination,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_two_fit": op12_two_fit,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {}

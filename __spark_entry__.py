@@ -200,7 +200,7 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sessionize_60m": lambda e: sessionize(e, 60),
     "sessionize_6h": lambda e: sessionize(e, 6 * 60),
     "sessionize_24h": lambda e: sessionize(e, 24 * 60),
-    "sessionize_hot_cells": lambda e: sessionize(e, 6 * 60, hot_cell_rows=1),
+    "sessionize_hot_cells": lambda e: sessionize(e, 6 * 60, parts=64),
     "session_bounds": lambda e: session_bounds(sessionize(e)),
     "session_metrics": lambda e: session_metrics(sessionize(e)),
     "session_metrics_durable": _durable_metrics,

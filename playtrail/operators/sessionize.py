@@ -1,161 +1,36 @@
 """Cutting each user's events into sessions."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.columns import GAP, NEW_SESSION, PREVIOUS, SESSION, TIMESTAMP, USER
-from playtrail.functions.timing import cell_start, seconds_between, starts_session
-from playtrail.operators.cells import (
-    CARRY,
-    CELL,
-    LAST,
-    ROWS,
-    cell_width,
-    number_cells,
-    summarize_cells,
-)
+from playtrail.functions.timing import seconds_between, starts_session
+from playtrail.operators.scan import trace_sessions
 from playtrail.validate import require_columns, threshold_seconds
 
 DERIVED = (PREVIOUS, GAP, NEW_SESSION, SESSION)
 
-# Events are brought together by user and cell; longer thresholds do not widen it further.
-MAX_CELL_SECONDS = 3600
-# A cell with more events than this is split further before it reaches one task.
-HOT_CELL_ROWS = 1_000_000
-# The list of such cells has at most one entry for so many events. From this number on that
-# bound is small enough to broadcast it; below, Spark chooses the join by the sizes it meets.
-BROADCAST_FROM_ROWS = 100_000
-
-_SEED = "__seed"
-_SECOND = "__second"
-_LANE = "__lane"
-_SETTLED = "__settled"
-_HOT_USER = "__hot_user"
-_HOT_CELL = "__hot_cell"
-_HOT_SESSION = "__hot_session"
-
-
-def _lag_from_seed(rows: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFrame:
-    """Previous timestamp within each group, the first row taking its group's seed.
-
-    A seed is a row that sorts before its group and carries the timestamp (and
-    session) that precedes it, so one shuffle serves rows and seeds alike.
-    """
-    tagged = rows.withColumn(_SEED, F.lit(False)).unionByName(
-        seeds.withColumn(_SEED, F.lit(True)), allowMissingColumns=True
-    )
-    in_order = Window.partitionBy(*keys).orderBy(F.desc(_SEED), F.asc(TIMESTAMP))
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        tagged.withColumns(
-            {
-                PREVIOUS: F.lag(TIMESTAMP).over(in_order),
-                SESSION: F.max(SESSION).over(so_far),
-            }
-        )
-        .filter(~F.col(_SEED))
-        .drop(_SEED)
-    )
-
-
-def _trace_hot(rows: DataFrame, instants: DataFrame, user_col: str) -> DataFrame:
-    """Previous timestamps in the hot cells, however dense or full of copies they are.
-
-    The rows of a cell first keep to lanes, one for each map task that read
-    them; a retried task reads the same rows again and gives them the same
-    lane. A row whose timestamp its lane has already shown (or that has none)
-    has that same timestamp before it and is settled. The others, at most one
-    per lane and distinct instant, meet again by second. ``instants`` are the
-    same rows, for finding what precedes each second.
-    """
-    rows = rows.withColumns(
-        {_SECOND: F.unix_timestamp(TIMESTAMP), _LANE: F.spark_partition_id()}
-    )
-    per_second = Window.partitionBy(CELL, user_col).orderBy(_SECOND)
-    seeds = (
-        instants.filter(F.col(TIMESTAMP).isNotNull())
-        .groupBy(user_col, CELL, F.unix_timestamp(TIMESTAMP).alias(_SECOND))
-        .agg(F.max(TIMESTAMP).alias(LAST))
-        .select(
-            user_col,
-            _SECOND,
-            F.lit(-1).alias(_LANE),
-            F.lag(LAST).over(per_second).alias(TIMESTAMP),
-            F.lit(None).cast("long").alias(SESSION),
-        )
-    )
-
-    in_lane = Window.partitionBy(CELL, _LANE, user_col).orderBy(TIMESTAMP)
-    rows = rows.withColumn(
-        _SETTLED, F.lag(TIMESTAMP).over(in_lane).eqNullSafe(F.col(TIMESTAMP))
-    ).withColumn(_LANE, F.when(F.col(_SETTLED), F.col(_LANE)).otherwise(F.lit(-1)))
-    traced = _lag_from_seed(rows, seeds, [_SECOND, _LANE, user_col])
-    return traced.withColumn(
-        PREVIOUS,
-        F.when(F.col(_SETTLED), F.col(TIMESTAMP)).otherwise(
-            F.coalesce(F.col(PREVIOUS), F.col(CARRY))
-        ),
-    )
-
-
-def _trace(events: DataFrame, user_col: str, limit: float, hot_cell_rows: int) -> DataFrame:
-    """Events with the user's previous timestamp and the session number."""
-    require_columns(events, [TIMESTAMP, user_col])
-    kept = [name for name in events.columns if name not in DERIVED]
-    width = cell_width(limit, at_most=MAX_CELL_SECONDS)
-    in_cells = events.select(*kept, cell_start(F.col(TIMESTAMP), width).alias(CELL))
-
-    summary = summarize_cells(events, user_col, width)
-    cells = number_cells(summary, user_col, limit)
-    seeds = cells.select(user_col, CELL, F.col(CARRY).alias(TIMESTAMP), SESSION)
-    hot = cells.filter(F.col(ROWS) > hot_cell_rows).select(
-        F.col(user_col).alias(_HOT_USER),
-        F.col(CELL).alias(_HOT_CELL),
-        CARRY,
-        F.col(SESSION).alias(_HOT_SESSION),
-    )
-    if hot_cell_rows >= BROADCAST_FROM_ROWS:
-        hot = F.broadcast(hot)
-    same_cell = F.col(user_col).eqNullSafe(F.col(_HOT_USER)) & F.col(CELL).eqNullSafe(
-        F.col(_HOT_CELL)
-    )
-    # Every cell has a session number, so a row without one is in no hot cell. Both joins and
-    # the seeds want the number: that keeps the summary below them one and the same.
-    tagged = in_cells.join(hot, same_cell, "left")
-    in_hot_cell = F.col(_HOT_SESSION).isNotNull()
-    ordinary = tagged.filter(~in_hot_cell).select(
-        *kept, CELL, F.lit(None).cast("long").alias(SESSION)
-    )
-    crowded = _trace_hot(
-        tagged.filter(in_hot_cell).select(
-            *kept, CELL, CARRY, F.col(_HOT_SESSION).alias(SESSION)
-        ),
-        tagged.filter(in_hot_cell).select(user_col, CELL, TIMESTAMP),
-        user_col,
-    )
-    columns = [*kept, PREVIOUS, SESSION]
-    return (
-        _lag_from_seed(ordinary, seeds, [CELL, user_col])
-        .select(*columns)
-        .unionByName(crowded.select(*columns))
-    )
-
 
 def sessionize(
     events: DataFrame,
     threshold_minutes: float = 20,
     user_col: str = USER,
-    hot_cell_rows: int = HOT_CELL_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Events with previous timestamp, gap, new-session flag and session number.
 
     A session of a user ends where the gap to the next event is longer than the
     threshold. Session numbers start at 1 for each user and follow time. Among
     events of a user with equal timestamps, which one comes first is open.
+
+    ``parts`` is the number of parts of about equal size that the events are cut
+    into, by default ``spark.sql.shuffle.partitions``. The input has to read the
+    same way twice, as tables do.
     """
     limit = threshold_seconds(threshold_minutes)
-    traced = _trace(events, user_col, limit, hot_cell_rows)
-    kept = [name for name in traced.columns if name not in DERIVED]
+    require_columns(events, [TIMESTAMP, user_col])
+    kept = [name for name in events.columns if name not in DERIVED]
+    traced = trace_sessions(events.select(*kept), user_col, limit, parts)
     gap = seconds_between(F.col(PREVIOUS), F.col(TIMESTAMP))
     return (
         traced.withColumn(GAP, gap)

@@ -3,16 +3,18 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import brute_force
+import pyarrow as pa
 import pytest
 import sample
 from pyspark.sql import functions as F
 from sample import at
 
 from playtrail.columns import EVENT_SCHEMA
+from playtrail.operators import scan
 from playtrail.operators.sessionize import sessionize
 
 NARROW = "user_id string, timestamp timestamp"
-EVERY_CELL_HOT = 0
+MANY = 40  # parts, so that most users lie in several
 
 
 def traced(spark, rows, minutes=20, **options):
@@ -70,8 +72,8 @@ def test_added_columns_have_declared_types(spark):
     assert result.columns[:6] == EVENT_SCHEMA.fieldNames()
 
 
-@pytest.mark.parametrize("hot_cell_rows", [1_000_000, EVERY_CELL_HOT])
-def test_null_timestamps_share_the_last_of_their_numbers(spark, hot_cell_rows):
+@pytest.mark.parametrize("parts", [1, 3, MANY])
+def test_null_timestamps_share_the_last_of_their_numbers(spark, parts):
     midnight = at("2024-04-21 00:00:00")
     late = at("2024-04-21 00:40:01")
     rows = [
@@ -83,7 +85,7 @@ def test_null_timestamps_share_the_last_of_their_numbers(spark, hot_cell_rows):
         ("a", late),
         ("a", late),
     ]
-    assert traced(spark, rows, hot_cell_rows=hot_cell_rows) == Counter(
+    assert traced(spark, rows, parts=parts) == Counter(
         [
             ("a", None, None, None, 1, 2),
             ("a", None, None, None, 1, 2),
@@ -121,20 +123,63 @@ def test_matches_brute_force(spark, seed, minutes):
     assert traced(spark, rows, minutes) == expected(rows, minutes)
 
 
-@pytest.mark.parametrize("hot_cell_rows", [EVERY_CELL_HOT, 6])
+@pytest.mark.parametrize("parts", [1, 7, MANY])
 @pytest.mark.parametrize("minutes", [20, 300])
-def test_hot_cells_give_the_same_rows(spark, hot_cell_rows, minutes):
+def test_any_number_of_parts_gives_the_same_rows(spark, parts, minutes):
     rows = random_rows(3)
-    assert traced(spark, rows, minutes, hot_cell_rows=hot_cell_rows) == expected(rows, minutes)
+    assert traced(spark, rows, minutes, parts=parts) == expected(rows, minutes)
 
 
-def test_the_list_of_hot_cells_has_no_cap(spark):
-    """All cells are hot, and every row still goes the way of the hot ones."""
-    rows = random_rows(4)
-    result = sessionize(spark.createDataFrame(rows, NARROW), hot_cell_rows=EVERY_CELL_HOT)
-    plan = result._jdf.queryExecution().optimizedPlan().toString()
-    assert "Limit" not in plan
-    assert traced(spark, rows, hot_cell_rows=EVERY_CELL_HOT) == expected(rows)
+@pytest.mark.parametrize("batch", [1, 5, 64])
+def test_any_size_of_batches_gives_the_same_rows(spark, batch):
+    """Runs without a timestamp go over the ends of batches and parts."""
+    rows = random_rows(4, users=3, events=90)
+    rows += [(user, None) for user, _ in rows if user != "u1"]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for parts in (1, 9):
+            assert traced(spark, rows, parts=parts) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_part_scan_against_brute_force_without_spark():
+    """Parts and batches of every size, by the scan itself: edges tell what is left open."""
+    pick = random.Random(12)
+    for _ in range(60):
+        rows = random_rows(pick.randrange(10**6), users=2, events=25)
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0))
+        table = pa.table(
+            {
+                "user_id": pa.array([u for u, _ in rows], pa.string()),
+                "timestamp": pa.array([t for _, t in rows], pa.timestamp("us")),
+                "__row": pa.array(range(len(rows)), pa.int64()),
+            }
+        )
+        size = pick.randrange(1, 9)
+        found = list(scan._scan_parts(1200, 0, 1, 2)(iter(table.to_batches(max_chunksize=size))))
+        out = pa.Table.from_batches(found).to_pylist()
+        edges = [r for r in out if r["__edge"]]
+        assert 1 <= len(edges) <= 2 and edges[0]["__edge"]["first"]
+        plain = [r for r in out if not r["__edge"]]
+        assert sorted(r["__row"] for r in plain) == list(range(len(rows)))
+        whole = Counter((u, t, p, s) for u, t, p, *_, s in brute_force.sessionize(rows, 1200))
+        first = edges[0]["user_id"]
+        by_user = Counter(u for u, t in rows if t is None)
+
+        def number(r):
+            if r["timestamp"] is None:
+                return by_user[r["user_id"]]
+            return r["session_id"] + (r["user_id"] == first)
+
+        settled = [r for r in plain if r["__role"] == 0]
+        assert all(number(r) == r["session_id"] for r in settled)
+        told = Counter(
+            (r["user_id"], r["timestamp"], r["previous_timestamp"], number(r)) for r in plain
+        )
+        # the part's first row opens a session; its own edge says so
+        opens = rows[0][1] is not None or by_user[first]
+        assert opens and told == whole
 
 
 def test_one_user_with_copies_of_one_event(spark):
@@ -145,7 +190,7 @@ def test_one_user_with_copies_of_one_event(spark):
     rows += [(f"u{i % 50}", midnight + timedelta(seconds=i * 37)) for i in range(600)]
     random.Random(5).shuffle(rows)
     events = spark.createDataFrame(rows, NARROW).repartition(7)
-    result = sessionize(events, 20, hot_cell_rows=50)
+    result = sessionize(events, 20, parts=MANY)
     found = Counter(tuple(r) for r in result.collect())
     assert found == expected(rows)
 
@@ -153,8 +198,8 @@ def test_one_user_with_copies_of_one_event(spark):
 def test_other_columns_stay_with_their_event(spark):
     rows = [(f"u{i % 3}", datetime(2024, 1, 1) + timedelta(minutes=7 * i), i) for i in range(60)]
     events = spark.createDataFrame(rows, NARROW + ", note int")
-    for hot_cell_rows in (1_000_000, EVERY_CELL_HOT):
-        found = {tuple(r) for r in sessionize(events, hot_cell_rows=hot_cell_rows).collect()}
+    for parts in (None, MANY):
+        found = {tuple(r) for r in sessionize(events, parts=parts).collect()}
         assert found == set(brute_force.sessionize(rows, 1200))
 
 
@@ -174,16 +219,30 @@ def test_longer_threshold_never_adds_sessions(spark):
     assert counts == sorted(counts, reverse=True)
 
 
-def test_wide_rows_shuffle_once(spark, tmp_path):
-    """Without hot cells the event columns go through one exchange, the rest is narrow."""
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_rows_are_read_and_exchanged_once(spark, tmp_path, adaptive):
+    """Both the rows and the edges of the parts come from one range exchange."""
     path = str(tmp_path / "events")
     spark.createDataFrame(sample.EVENTS, EVENT_SCHEMA).write.parquet(path)
-    result = sessionize(spark.read.parquet(path))
-    result.collect()
-    final = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "BroadcastHashJoin" not in final
-    assert final.count("FileScan parquet") <= 2
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        result = sessionize(spark.read.parquet(path))
+        result.collect()
+        final = result._jdf.queryExecution().executedPlan().toString()
+        final = final.split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert final.count("FileScan parquet") == 1 or adaptive == "true"
+    assert final.count("Exchange rangepartitioning") - final.count("ReusedExchange") <= 1
     assert "ReusedExchange" in final
+    assert "CartesianProduct" not in final and "NestedLoop" not in final
+
+
+def test_derived_columns_and_inner_names_do_not_clash(spark):
+    rows = [("a", at("2024-04-21 00:00:00"), 7, 8, 9), ("a", at("2024-04-21 00:05:00"), 7, 8, 9)]
+    events = spark.createDataFrame(rows, f"{NARROW}, session_id int, last int, first int")
+    found = sessionize(events).collect()
+    assert [(r["last"], r["first"], r["session_id"]) for r in found] == [(8, 9, 1)] * 2
 
 
 def test_missing_columns_are_named(spark):
@@ -219,34 +278,22 @@ def test_result_does_not_depend_on_adaptive_execution(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         assert traced(spark, rows) == expected(rows)
-        assert traced(spark, rows, hot_cell_rows=6) == expected(rows)
+        assert traced(spark, rows, parts=MANY) == expected(rows)
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_copies_reach_tasks_in_the_shares_they_were_read(spark, tmp_path):
-    """No task of the crowded part takes in more copies than one map task holds."""
+def test_copies_of_one_event_are_spread_evenly(spark):
+    """No part takes in more than a small multiple of its share, whatever the rows are."""
     midnight = datetime(2024, 1, 1)
     rows = [("hot", midnight)] * 4_000 + [("u", midnight + timedelta(minutes=i)) for i in range(99)]
-    path = str(tmp_path / "events")
-    spark.createDataFrame(rows, NARROW).repartition(8).write.parquet(path)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        events = spark.read.parquet(path)
-        assert events.rdd.getNumPartitions() >= 8
-        result = sessionize(events, hot_cell_rows=100)
-        shares = result.groupBy(F.spark_partition_id().alias("task")).count().collect()
-        assert sum(r["count"] for r in shares) == len(rows)
-        assert max(r["count"] for r in shares) < 2_000
-        assert result.filter("user_id = 'hot' and new_session = 1").count() == 1
-    finally:
-        for name in (
-            "spark.sql.files.maxPartitionBytes",
-            "spark.sql.files.openCostInBytes",
-            "spark.sql.adaptive.coalescePartitions.enabled",
-        ):
-            spark.conf.unset(name)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    rows += [("hot", None)] * 2_000
+    events = spark.createDataFrame(rows, NARROW).repartition(8)
+    result = sessionize(events, parts=64)
+    shares = result.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in shares) == len(rows)
+    assert max(r["count"] for r in shares) < 4 * len(rows) / 64
+    assert result.filter("user_id = 'hot' and timestamp is not null and new_session = 1").count() == 1
+    assert result.filter("user_id = 'hot' and timestamp is null").agg(
+        F.min("session_id"), F.max("session_id")
+    ).first() == (2_000, 2_000)

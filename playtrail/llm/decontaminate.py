@@ -10,7 +10,11 @@ list in order of rarity, and keeps the starts that survive all of them.
 
 Nothing is shuffled but term counts and, with very many test phrases, results:
 each shard answers for its own documents. The test phrases are the stated query
-set; they go to all shards in blocks of bounded size.
+set; they go to the shards in blocks of bounded size. The index is built once and
+answers block after block; its shards and their rows are numbered, so answers to
+several blocks meet row by row. An item of more words than a block is cut into
+stretches that overlap by a window, so none of its windows is lost; what stands
+near is then asked of each stretch.
 
 Defined results: null and empty texts have no words and match nothing; repeated
 rows each get a row; an item without words has no phrase; an item shorter than a
@@ -22,7 +26,9 @@ read, so other columns cannot clash.
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +36,16 @@ from playtrail.llm.stages import keep_table
 from playtrail.llm.textbytes import WORD, slices
 
 WINDOW = 13
-#: Distinct test words and windows that one pass over the index handles at once.
+#: Test words that one pass over the index handles at once, in the mean.
 BLOCK_WORDS = 500_000
+#: Distinct test words up to which the index holds no other words; beyond, it holds all.
+INDEXED_TERMS = 2_000_000
 #: Words within which the rarest terms of an item must stand for a near match.
 NEAR = 20
 NEAR_TERMS = 3
 
 _INDEX = (
-    "id long, n_words array<int>, ids array<long>, terms binary, lists binary, positions binary"
+    "shard long, n_words array<int>, ids array<long>, terms binary, lists binary, positions binary"
 )
 _FOUND = (
     "shard long, row int, id long, n_words long, "
@@ -57,13 +65,16 @@ def build_index(
     """Shards of positional postings; with ``terms`` (sorted hashes) of those words only.
 
     Positions of a shard count its words through all its documents; ``n_words``
-    tells where one document ends and the next begins.
+    tells where one document ends and the next begins. Shards are numbered, for good
+    once the index is written.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = (TaskContext.get().partitionId() << 33) - 1
         for batch in batches:
             ids = batch.column(0)
             for part, words in words_of(batch.column(1)):
+                shard += 1
                 at = np.arange(len(words), dtype=np.int32)
                 hashes = words.hashes
                 if terms is not None:
@@ -78,14 +89,14 @@ def build_index(
                 rows = ids.slice(part.first_row, len(part))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([int(words.hashes[:1].sum() >> np.uint64(1))], pa.int64()),
+                        pa.array([shard], pa.int64()),
                         pa.array([words.counts().astype(np.int32)], pa.list_(pa.int32())),
                         pa.array([rows.to_pylist()], pa.list_(pa.int64())),
                         pa.array([hashes[firsts].tobytes()], pa.binary()),
                         pa.array([np.append(firsts, len(at)).astype(np.int32).tobytes()], pa.binary()),
                         pa.array([at.tobytes()], pa.binary()),
                     ],
-                    names=["id", "n_words", "ids", "terms", "lists", "positions"],
+                    names=["shard", "n_words", "ids", "terms", "lists", "positions"],
                 )
 
     narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
@@ -264,7 +275,7 @@ def phrase_matches(index: DataFrame, phrases: Phrases, near: int = NEAR) -> Data
                 found = _answer(shard, sent.value, near)
                 n = len(shard.n_words)
                 columns = [
-                    [row["id"]] * n, range(n), row["ids"], shard.n_words.tolist(),
+                    [row["shard"]] * n, range(n), row["ids"], shard.n_words.tolist(),
                     found["spans"], found["items"], found["near"],
                 ]
                 arrays = [pa.array(x, f.type) for x, f in zip(columns, schema)]
@@ -292,22 +303,48 @@ def term_counts(index: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _item_words(
+    items: DataFrame, id_col: str, text_col: str, window: int, most: int
+) -> DataFrame:
+    """Word hashes of every item, in stretches of at most ``most`` words and a window."""
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            names = batch.column(0).to_pylist()
             for part, words in words_of(batch.column(1)):
-                first = words.first
-                lists = [words.hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
-                rows = batch.column(0).slice(part.first_row, len(part))
-                size = words.counts().astype(np.int64)
+                found = [
+                    (names[part.first_row + k], words.hashes[at : min(at + most + window - 1, b)])
+                    for k, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist()))
+                    for at in range(a, max(a + 1, b - window + 1), most)
+                    if b > a
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [rows, pa.array(lists, pa.binary()), pa.array(size)], names=["item", "words", "n"]
+                    [
+                        pa.array([name for name, _ in found], pa.string()),
+                        pa.array([w.tobytes() for _, w in found], pa.binary()),
+                        pa.array([len(w) for _, w in found], pa.int64()),
+                    ],
+                    names=["item", "words", "n"],
                 )
 
     named = items.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(text_col).cast("string")
     )
-    return named.mapInArrow(split, "item string, words binary, n long").filter("n > 0")
+    return named.mapInArrow(split, "item string, words binary, n long")
+
+
+def _test_terms(tests: DataFrame, most: int) -> np.ndarray | None:
+    """The distinct words of all items, sorted; none if they are more than ``most``."""
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = b"".join(batch.column(0).to_pylist())
+            distinct = np.unique(np.frombuffer(data, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(distinct)], names=["term"])
+
+    found = tests.select("words").mapInArrow(terms, "term long").distinct().limit(most + 1)
+    found = found.toPandas()["term"].to_numpy(np.int64)
+    return np.sort(found.view(np.uint64)) if len(found) <= most else None
 
 
 def contamination(
@@ -320,28 +357,32 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = BLOCK_WORDS,
+    indexed_terms: int = INDEXED_TERMS,
 ) -> DataFrame:
     """Spans and items of every document: id, n_words, spans, items, near.
 
-    The number of passes is the number of test words over ``block_words``.
+    The documents are read once. The number of passes over their index is the number
+    of test words over ``block_words``.
     """
     spark = docs.sparkSession
-    tests = _item_words(items, item_col, item_text_col)
+    tests = _item_words(items, item_col, item_text_col, window, block_words)
     total = tests.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-int(total) // block_words))
+    terms = _test_terms(tests, indexed_terms)
+    index = keep_table(build_index(docs, terms, id_col, text_col), "postings")
+    corpus = term_counts(index)
+    if blocks > 1:
+        corpus = keep_table(corpus, "term-counts")
     parts = []
     for k in range(blocks):
         block = tests
         if blocks > 1:
             block = tests.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k)
         own = [(r.item, np.frombuffer(r.words, np.uint64)) for r in block.collect()]
-        terms = np.unique(np.concatenate([w for _, w in own] or [np.zeros(0, np.uint64)]))
-        index = keep_table(build_index(docs, terms, id_col, text_col), "postings")
-        counts = {r.term & (1 << 64) - 1: r.n for r in term_counts(index).collect()}
+        counts = {r.term & (1 << 64) - 1: r.n for r in _counts_of(corpus, own).collect()}
         parts.append(phrase_matches(index, Phrases(own, counts, window), near))
     if blocks == 1:
         return parts[0].select("id", "n_words", "spans", "items", "near")
-    # The shards of every block are cut from the same rows in the same order.
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
@@ -351,6 +392,14 @@ def contamination(
     return merged.select("id", "n_words", _union_of("spans").alias("spans"), "items", "near")
 
 
+def _counts_of(corpus: DataFrame, own: list[tuple[str, np.ndarray]]) -> DataFrame:
+    """Corpus counts of a block's words, of which there are as many as a block has."""
+    words = np.unique(np.concatenate([w for _, w in own] or [np.zeros(0, np.uint64)]))
+    frame = pd.DataFrame({"term": words.view(np.int64)})
+    wanted = corpus.sparkSession.createDataFrame(frame, "term long")
+    return corpus.join(F.broadcast(wanted), "term", "left_semi")
+
+
 def _union_of(spans: str):
     """Overlapping and touching spans joined, by one fold over the sorted list."""
     empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")

@@ -113,13 +113,19 @@ ITEMS = [(1, prose(5, 40)), (2, "Only few words"), (3, None), (4, ""), (5, prose
          (None, "one nameless item"), (6, prose(5, 40))]
 
 
-@pytest.mark.parametrize("block_words", [500_000, 40])
-def test_contamination_matches_brute_force(spark, block_words):
+@pytest.mark.parametrize(
+    ("block_words", "indexed_terms"), [(500_000, 2_000_000), (40, 2_000_000), (9, 3)]
+)
+def test_contamination_matches_brute_force(spark, block_words, indexed_terms):
     rows = [(i, prose(100 + i, 60)) for i in range(20)]
     rows += [(50, prose(1, 9) + prose(5, 40) + prose(2, 9)), (51, "ONLY few, words! only few words"),
              (52, prose(5, 12)), (53, prose(6, 13) * 3), (54, "a nameless one nameless item")]
-    docs = spark.createDataFrame(rows, DOCS).repartition(2)
-    found = found_contamination(spark, docs, ITEMS, block_words=block_words)
+    # whole copies in files of their own, whose slices begin with the same word
+    rows += rows[-3:] * 2
+    docs = spark.createDataFrame(rows[:-3], DOCS).repartition(2)
+    docs = docs.unionByName(spark.createDataFrame(rows[-3:], DOCS).repartition(3))
+    options = {"block_words": block_words, "indexed_terms": indexed_terms}
+    found = found_contamination(spark, docs, ITEMS, **options)
     assert found == plain_contamination(rows, ITEMS)
     assert sum(hit > 0 for _, _, hit, _ in found) >= 4
 

@@ -1,8 +1,11 @@
 """Near-duplicate vectors: NN-descent with growing lists and an audited recall.
 
+Equal vectors of a label are one vector with a weight: they link with each other, and with
+whatever one of them links to, which is counted by arithmetic. For the others:
+
 1. *Start.* Random hyperplanes cut the vectors of a label into leaves of some
-   ``LEAF`` vectors, ``TREES`` times over; a leaf that stays larger, such as one of
-   copies, is dealt out at random. Each vector lists its ``K`` nearest of its leaves.
+   ``LEAF`` vectors, ``TREES`` times over; a leaf that stays larger is dealt out at
+   random. Each vector lists its ``K`` nearest of its leaves.
 2. *Descend.* Neighbours of a vector are compared with each other, both along and
    against the lists, and better ones enter the lists, until no list changes or
    ``ROUNDS`` are over. Edges below ``FLOOR`` are not followed: two vectors within
@@ -11,11 +14,14 @@
 3. *Enlarge.* A list is saturated if all its K entries are links. Then K is too
    small to hold all, and the list is enlarged to everything that links lead to:
    members of such a component are compared block by block and counted.
-4. *Audit.* Vectors whose id is divisible by 50 are compared with all of their
-   label; if the links found are fewer than ``RECALL`` of theirs, more trees follow.
+4. *Audit.* One vector in ``AUDITED`` is compared with all of its label. Recall is the
+   mean share of its links that an audited vector with links was found to have, so that
+   each vector counts alike, whatever the size of its group. While a label is below
+   ``RECALL``, more trees follow for it; a label that is still below it after
+   ``MORE_TREES`` further tries is compared whole, block by block, which is exact.
 
 Vectors are compared in tasks that hold a leaf, a share of the centres or two
-blocks, never all of a label.
+blocks, never all of a label. Counts by label are joined to vectors over a salted key.
 
 Defined results: vectors that are null, zero, or hold null or non-finite numbers,
 and vectors without a label, link with nothing and are their own component;
@@ -46,6 +52,9 @@ AUDITED = 50
 RECALL = 0.95
 MORE_TREES = 3
 
+#: Parts that the vectors of one label are dealt to where they meet its counts.
+SALTS = 32
+
 _EDGES = "u long, v long, cosine double"
 
 
@@ -131,10 +140,17 @@ def _leaves(rows: DataFrame, trees: int, first_tree: int) -> DataFrame:
     return cutted.select("id", "x", F.explode("leaves").alias("leaf"))
 
 
+def with_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows joined to a table by family; the rows of one family are dealt to several tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return salted.join(counts.select("*", salts), ["family", "salt"]).drop("salt")
+
+
 def start_lists(vectors: DataFrame, trees: int, first_tree: int, k: int) -> DataFrame:
     size = vectors.groupBy("family").count()
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("count") / LEAF))).cast("int")
-    rows = vectors.join(size, "family").withColumn("bits", bits)
+    rows = with_counts(vectors, size).withColumn("bits", bits)
     leaves = _leaves(rows, trees, first_tree)
     large = leaves.groupBy("leaf").count().filter(F.col("count") > 4 * LEAF)
     large = large.select("leaf", F.ceil(F.col("count") / (2 * LEAF)).alias("parts"))
@@ -153,9 +169,17 @@ def start_lists(vectors: DataFrame, trees: int, first_tree: int, k: int) -> Data
 
 
 def best(edges: DataFrame, k: int) -> DataFrame:
-    """The k best distinct entries of every list."""
-    ranked = edges.groupBy("u").agg(
-        F.slice(F.sort_array(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "v"))), 1, k).alias("list")
+    """The k best entries of every list, with one entry for each other vector.
+
+    One cosine computed in two products may differ in its last bit; the greatest counts.
+    Lists stay where the first exchange brought their entries.
+    """
+    single = edges.filter("u != v").repartition("u").groupBy("u", "v")
+    entry = F.struct((-F.col("cosine")).alias("far"), "v")
+    ranked = (
+        single.agg(F.max("cosine").alias("cosine"))
+        .groupBy("u")
+        .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("list"))
     )
     return ranked.select("u", F.explode("list").alias("e")).select(
         "u", F.col("e.v").alias("v"), (-F.col("e.far")).alias("cosine")
@@ -210,10 +234,14 @@ def neighbour_graph(vectors: DataFrame, trees: int, first_tree: int, k: int, old
     return lists
 
 
-def _block_counts(asking: DataFrame, given: DataFrame, size: int) -> DataFrame:
-    """id, n: how many others of ``given`` with the same ``family`` each of ``asking`` links to.
+def _block_counts(
+    asking: DataFrame, given: DataFrame, size: int, ties: bool = False
+) -> DataFrame:
+    """id, n, joined: how many others of its ``family`` each of ``asking`` links to, by weight.
 
     Both are dealt into blocks of some ``size`` vectors; a task compares two blocks.
+    With ``ties``, ``joined`` are vectors that stand for the links of two blocks: within
+    them, linked vectors lead to the same one.
     """
     n_asking = asking.groupBy("family").agg(F.ceil(F.count("*") / size).alias("n_x"))
     n_given = given.groupBy("family").agg(F.ceil(F.count("*") / size).alias("n_y"))
@@ -221,12 +249,13 @@ def _block_counts(asking: DataFrame, given: DataFrame, size: int) -> DataFrame:
 
     def dealt(rows: DataFrame, own: str, n_own: str, other: str, n_other: str, asks: bool):
         # a number of blocks is a count over ``size``, so the sequence is as short
-        return rows.join(blocks, "family").select(
+        return with_counts(rows, blocks).select(
             "family",
             F.pmod(F.xxhash64("id"), F.col(n_own)).alias(own),
             F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other),
             "id",
             "x",
+            "weight",
             F.lit(asks).alias("asks"),
         )
 
@@ -236,24 +265,41 @@ def _block_counts(asking: DataFrame, given: DataFrame, size: int) -> DataFrame:
 
     def count(table: pa.Table) -> pa.Table:
         ask = np.array(table.column("asks").to_pylist())
-        ids = table.column("id").to_numpy()
+        ids, weight = table.column("id").to_numpy(), table.column("weight").to_numpy()
         x = _matrix(table.column("x"))
         left, right = np.flatnonzero(ask), np.flatnonzero(~ask)
         n = np.zeros(len(left), np.int64)
+        near = np.zeros((len(left), len(right)), bool)
         for at in range(0, len(left), 512):
             own = left[at : at + 512]
-            near = x[own] @ x[right].T >= COSINE
-            n[at : at + 512] = (near & (ids[own][:, None] != ids[right])).sum(axis=1)
-        return pa.table({"id": pa.array(ids[left]), "n": pa.array(n)})
+            near[at : at + 512] = x[own] @ x[right].T >= COSINE
+            near[at : at + 512] &= ids[own][:, None] != ids[right]
+            n[at : at + 512] = near[at : at + 512] @ weight[right]
+        joined = _least_reached(near, ids[left], ids[right]) if ties else ids[left]
+        return pa.table({"id": pa.array(ids[left]), "n": pa.array(n), "joined": pa.array(joined)})
+
+    met = both.groupBy("family", "bx", "by").applyInArrow(count, "id long, n long, joined long")
+    return met.groupBy("id").agg(F.sum("n").alias("n"), F.collect_set("joined").alias("joined"))
 
-    met = both.groupBy("family", "bx", "by").applyInArrow(count, "id long, n long")
-    return met.groupBy("id").agg(F.sum("n").alias("n"))
+
+def _least_reached(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each row the least id that links of the two blocks lead to."""
+    told = np.zeros(0, np.int64)
+    mine, theirs = left.copy(), right.copy()
+    row, column = np.nonzero(near)
+    while not np.array_equal(told, mine):
+        told = mine.copy()
+        np.minimum.at(theirs, column, mine[row])
+        np.minimum.at(mine, row, theirs[column])
+    return mine
 
 
 def degrees(lists: DataFrame, links: DataFrame, joined: DataFrame, vectors: DataFrame, k: int):
-    """id, n: number of links; saturated components are counted block by block."""
-    listed = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id")
-    listed = listed.agg(F.count("*").alias("n"))
+    """id, n: number of links by weight; saturated components are counted block by block."""
+    weights = vectors.select(F.col("id").alias("b"), "weight")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    listed = both.join(weights, "b").groupBy(F.col("a").alias("id"))
+    listed = listed.agg(F.sum("weight").alias("n"))
     member = listed.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
@@ -265,51 +311,105 @@ def degrees(lists: DataFrame, links: DataFrame, joined: DataFrame, vectors: Data
     )
     saturated = member.join(full, "id", "left_semi").select("component").distinct()
     grown = member.join(saturated, "component", "left_semi").select("id", "component")
-    grown = grown.join(vectors.select("id", "x"), "id").select(
-        "id", F.col("component").alias("family"), "x"
+    grown = grown.join(vectors.select("id", "x", "weight"), "id").select(
+        "id", F.col("component").alias("family"), "x", "weight"
     )
     grown = keep_table(grown, "saturated")
-    counted = keep_table(_block_counts(grown, grown, BLOCK), "counted")
+    counted = keep_table(_block_counts(grown, grown, BLOCK).select("id", "n"), "counted")
     return member.join(counted.withColumnRenamed("n", "all"), "id", "left").select(
-        "id", F.coalesce("all", "n").alias("n"), "component"
+        "id", F.coalesce("all", "n").alias("n")
     )
 
 
-def audit(vectors: DataFrame, found: DataFrame) -> tuple[int, int]:
-    """Links of the audited vectors, and how many of them were found."""
-    asking = vectors.filter(F.col("id") % AUDITED == 0)
-    truth = _block_counts(asking, vectors, BLOCK).filter("n > 0")
-    row = (
-        truth.join(found.select("id", F.col("n").alias("got")), "id", "left")
-        .agg(F.sum("n"), F.sum(F.coalesce("got", F.lit(0))))
-        .first()
+def audit(vectors: DataFrame, found: DataFrame) -> DataFrame:
+    """Per family: how many vectors were audited, and the sum of the shares found of their links."""
+    asking = vectors.filter(F.pmod(F.xxhash64("id"), F.lit(AUDITED)) == 0)
+    truth = _block_counts(asking, vectors, BLOCK).filter("n > 0").select("id", "n")
+    share = F.coalesce(F.col("got"), F.lit(0)) / F.col("n")
+    return (
+        truth.join(vectors.select("id", "family"), "id")
+        .join(found.select("id", F.col("n").alias("got")), "id", "left")
+        .groupBy("family")
+        .agg(F.count("*").alias("audited"), F.sum(F.least(share, F.lit(1.0))).alias("shares"))
     )
-    return int(row[0] or 0), int(row[1] or 0)
+
+
+def collapsed(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One vector for equal ones of a family, with their number; and whom each stands for."""
+    keyed = vectors.withColumn("hash", F.xxhash64("x"))
+    own = keyed.groupBy("family", "hash", "x").agg(
+        F.min("id").alias("id"), F.count("*").alias("weight")
+    )
+    own = keep_table(own.select("id", "family", "x", "weight"), "vectors")
+    keys = own.select(F.col("id").alias("same_as"), "family", F.xxhash64("x").alias("hash"), "x")
+    same = keyed.select("id", "family", "hash", "x").join(keys, ["family", "hash", "x"])
+    return own, keep_table(same.select("id", "same_as"), "copies")
 
 
 def linked_vectors(
-    vectors: DataFrame, id_col="vec_id", vector_col="embedding", label_col="label", k: int = K
+    vectors: DataFrame,
+    id_col="vec_id",
+    vector_col="embedding",
+    label_col="label",
+    k: int = K,
+    more_trees: int = MORE_TREES,
 ) -> DataFrame:
     """id, n_links, component_id of every row, and the audited recall."""
-    rows = keep_table(usable(vectors, id_col, vector_col, label_col), "vectors")
-    lists, trees = None, 0
-    for attempt in range(1 + MORE_TREES):
-        lists = neighbour_graph(rows, TREES, trees, k, lists)
-        trees += TREES
+    rows, copies = collapsed(keep_table(usable(vectors, id_col, vector_col, label_col), "usable"))
+    settled: list[tuple[DataFrame, DataFrame]] = []  # links and degrees of labels that are done
+    open_rows, lists, audited, shares = rows, None, 0, 0.0
+    for attempt in range(1 + more_trees):
+        lists = neighbour_graph(open_rows, TREES, attempt * TREES, k, lists)
         links = keep_table(_links(lists), "links")
-        found = keep_table(degrees(lists, links, components(links), rows, k), "degrees")
-        true, got = audit(rows, found)
-        if got >= RECALL * true:
+        found = keep_table(degrees(lists, links, components(links), open_rows, k), "degrees")
+        judged = keep_table(audit(open_rows, found), "audit")
+        short = judged.filter(F.col("shares") < RECALL * F.col("audited")).select("family")
+        good = judged.join(short, "family", "left_anti").agg(F.sum("audited"), F.sum("shares"))
+        whole = judged.agg(F.sum("audited"), F.sum("shares")).first()
+        left = keep_table(open_rows.join(short, "family", "left_semi"), "open")
+        settled.append(
+            (
+                links.join(left.select(F.col("id").alias("a")), "a", "left_anti"),
+                found.join(left.select("id"), "id", "left_anti"),
+            )
+        )
+        done = good.first()
+        audited, shares = audited + (done[0] or 0), shares + (done[1] or 0.0)
+        open_rows = left
+        if not (whole[0] or 0) - (done[0] or 0):
             break
-    recall = got / true if true else 1.0
+    else:
+        # these labels are compared whole; what their links lead to stands for the links
+        exact = keep_table(_block_counts(open_rows, open_rows, BLOCK, ties=True), "whole-labels")
+        ties = exact.select(F.explode("joined").alias("a"), F.col("id").alias("b"))
+        settled.append((ties.filter("a != b"), exact.select("id", "n")))
+        n = open_rows.filter(F.pmod(F.xxhash64("id"), F.lit(AUDITED)) == 0).join(
+            exact.filter("n > 0").select("id"), "id", "left_semi"
+        )
+        n = n.count()
+        audited, shares = audited + n, shares + n
+    links, found = settled[0]
+    for more_links, more_found in settled[1:]:
+        links, found = links.unionByName(more_links), found.unionByName(more_found)
+    joined = components(links).select(F.col("node").alias("same_as"), "component")
     own = F.col(id_col).cast("long")
+    each = (
+        copies.join(rows.select(F.col("id").alias("same_as"), "weight"), "same_as")
+        .join(found.select(F.col("id").alias("same_as"), "n"), "same_as", "left")
+        .join(joined, "same_as", "left")
+        .select(
+            "id",
+            (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"),
+            F.coalesce("component", "same_as").alias("component"),
+        )
+    )
     return (
         vectors.select(own.alias("id"))
-        .join(found, "id", "left")
+        .join(each, "id", "left")
         .select(
             "id",
             F.coalesce("n", F.lit(0).cast("long")).alias("n_links"),
             F.coalesce("component", "id").alias("component_id"),
-            F.lit(recall).alias("audited_recall"),
+            F.lit(shares / audited if audited else 1.0).alias("audited_recall"),
         )
     )

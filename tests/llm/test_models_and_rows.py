@@ -136,6 +136,42 @@ def test_links_match_brute_force_with_saturated_lists(spark):
     assert {r.audited_recall for r in found} == {1.0}
 
 
+def plain_links(x):
+    """Number of links of each vector, and the least vector that links lead to."""
+    x = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    n, edges = np.zeros(len(x), np.int64), []
+    for at in range(0, len(x), 500):
+        row, column = np.nonzero(x[at : at + 500] @ x.T >= 0.98)
+        kept = row + at != column
+        np.add.at(n, row[kept] + at, 1)
+        edges.append((row[kept] + at, column[kept]))
+    a, b = (np.concatenate(e) for e in zip(*edges))
+    least, before = np.arange(len(x)), None
+    while not np.array_equal(least, before):
+        before = least.copy()
+        np.minimum.at(least, a, least[b])
+    return {i: (int(n[i]), int(least[i])) for i in range(len(x))}
+
+
+@pytest.mark.parametrize(("pairs", "copies", "more_trees"), [(3000, 1500, 3), (700, 300, -1)])
+def test_links_of_a_narrow_cone_and_copies(spark, pairs, copies, more_trees):
+    """All of one label: pairs close to each other, and copies; also with all blocks compared."""
+    draw = np.random.RandomState(7)
+    axis = draw.randn(24)
+    one = axis * 0.55 + draw.randn(pairs, 24)
+    other = one + draw.randn(pairs, 24) * 0.09
+    same = np.repeat(draw.randn(1, 24), copies, axis=0)
+    x = np.concatenate([one, other, same]).astype(np.float32)
+    order = draw.permutation(len(x))
+    x = x[order].astype(np.float64)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = vectors.linked_vectors(table, more_trees=more_trees).collect()
+    wanted = plain_links(x)
+    assert {r.id: (r.n_links, r.component_id) for r in found} == wanted
+    assert sum(n > 0 for n, _ in wanted.values()) > copies + pairs
+
+
 def test_no_vectors(spark):
     assert vectors.linked_vectors(spark.createDataFrame([], VECTORS)).collect() == []
 
@@ -204,17 +240,20 @@ def test_pipeline_packs_what_the_stages_keep(spark):
     assert max(r.offset + r.length for r in pieces) <= packing.CAPACITY
 
 
-# op2, op3 and op7 take many rounds each; their operators are tested by themselves.
-QUICK = [name for name in sorted(registry.QUERIES) if not name.startswith(("op2_", "op3_", "op7_"))]
-
-
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_registered_queries_return_their_rows(spark, name):
-    table = {"op8": "conversations"}.get(name[:3], "documents")
+    number = name.split("_")[0]
+    table = {"op7": "embeddings", "op8": "conversations", "op11": "conversations"}
     result = registry.QUERIES[name](spark, f"{DATA}/")
-    n = spark.read.parquet(f"{DATA}/{table}.parquet")
-    if name.startswith("op10"):
+    n = spark.read.parquet(f"{DATA}/{table.get(number, 'documents')}.parquet")
+    if number in ("op10", "op12"):
         assert result.count() >= n.count()
+    elif number == "op11":
+        assert result.count() == n.select("conv_id").distinct().count()
+    elif number == "op13":
+        assert result.count() == result.select("word").distinct().count() > 0
+    elif number == "op2":
+        assert result.select("doc_id").distinct().count() <= n.count() < result.count()
     elif name.startswith("op8"):
         assert result.count() == n.select("conv_id").distinct().count() + 1
         planted = result.filter("conv_id = -7").first()

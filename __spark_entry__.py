@@ -39,13 +39,14 @@ from playtrail.plans.top_songs import (
 )
 from playtrail.sources import parquet, tsv
 from playtrail.sources.listening import as_listening_events, read_listening_events
-from playtrail.storage import as_table, scratch_path
+from playtrail.storage import Scratch, as_table, scratch_path, settle
 from playtrail.streaming.sessions import (
     sessions_by_window,
     start_session_sink,
     still_open,
     stream_sessions,
 )
+from playtrail.streaming.store import SessionStore
 
 _LLM = importlib.util.find_spec("playtrail.llm")
 if _LLM is not None and _LLM.origin is not None:
@@ -74,19 +75,24 @@ def _inputs(names: list[str]) -> list[str]:
     return [*EVENT_SCHEMA.fieldNames(), *names]
 
 
-def _sessionized_once(events: DataFrame) -> DataFrame:
-    """Session numbers written once, for the bounds and for the events of chosen sessions."""
-    return as_table(sessionize(events), "sessionized")
+def _from_sessionized(query: Callable[[DataFrame], DataFrame], how: str = "table"):
+    """A query on session numbers that are kept for all its parts and released at its end."""
 
+    def run(events: DataFrame) -> DataFrame:
+        def settled(scratch: Scratch) -> DataFrame:
+            return query(scratch.keep(sessionize(events), how, "sessionized"))
 
-def _events_of_longest(events: DataFrame) -> DataFrame:
-    numbered = _sessionized_once(events)
+        return settle(events.sparkSession, settled)
+
+    return run
+
+
+def _events_of_longest(numbered: DataFrame) -> DataFrame:
     chosen = longest_sessions(session_metrics(numbered), SESSIONS)
     return events_of_sessions(numbered, chosen, at_most=SESSIONS)
 
 
-def _counts_by_id(events: DataFrame) -> DataFrame:
-    numbered = _sessionized_once(events)
+def _counts_by_id(numbered: DataFrame) -> DataFrame:
     chosen = longest_sessions(session_metrics(numbered), SESSIONS)
     return songs_in_sessions(numbered, chosen, other_cols=SONG_BY_ID[1:], at_most=SESSIONS)
 
@@ -148,8 +154,31 @@ def _parquet_days(events: DataFrame, *days: str) -> DataFrame:
     return parquet.read_events(events.sparkSession, path, *days)
 
 
-def _durable_metrics(events: DataFrame) -> DataFrame:
-    return session_metrics(as_table(sessionize(events), "events-with-sessions"))
+def _incremental_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of time arrive out of order, one of them twice; the store takes up each once.
+
+    What arrived before is out of reach by then, so nothing but the store can know of it.
+    """
+    whole = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path = scratch_path(spark, "session-store")
+    store = SessionStore(spark, f"{path}/store")
+    for k, slice_ in enumerate((0, 2, 1, 2, 3)):
+        _slice_of(whole, slice_).write.parquet(f"{path}/in/arrival={k}")
+        arriving = spark.readStream.schema(whole.schema).parquet(f"{path}/in/arrival={k}")
+        store.start(as_listening_events(arriving), f"{path}/state-{k}").awaitTermination()
+    return store.sessions()
+
+
+def _merged_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from batches, each of them merged twice, and old versions removed."""
+    events = as_listening_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    store = SessionStore(spark, scratch_path(spark, "session-store"))
+    for version in range(SLICES):
+        part = events.filter(F.pmod(F.xxhash64("timestamp"), F.lit(SLICES)) == version)
+        for _ in range(2):
+            store.merge(part, version)
+        store.vacuum()
+    return store.sessions()
 
 
 def _streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,18 +194,23 @@ def _streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = 4
 
 
+def _slice_of(events: DataFrame, k: int) -> DataFrame:
+    """One of the slices of time that an event table arrives in."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    bounds = [None, *(first + (last - first) * i / SLICES for i in range(1, SLICES)), None]
+    low, high = bounds[k], bounds[k + 1]
+    now = F.lit(True)
+    now = now if low is None else now & (F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
+    now = now if high is None else now & (F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+    return events.filter(now | F.col("ts").isNull() if low is None else now)
+
+
 def _complete_streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arrive in slices of time, the stream is restarted for each; then what is open."""
     whole = spark.read.parquet(f"{sf_dir}/events.parquet")
     path = scratch_path(spark, "stream-slices")
-    first, last = whole.agg(F.min("ts"), F.max("ts")).first()
-    bounds = [first + (last - first) * k / SLICES for k in range(1, SLICES)]
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        now = F.lit(True)
-        now = now if low is None else now & (F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
-        now = now if high is None else now & (F.col("ts") < F.lit(high).cast("timestamp_ntz"))
-        now = now | F.col("ts").isNull() if low is None else now
-        whole.filter(now).write.mode("append").parquet(f"{path}/in")
+    for k in range(SLICES):
+        _slice_of(whole, k).write.mode("append").parquet(f"{path}/in")
         arriving = spark.readStream.schema(whole.schema).parquet(f"{path}/in")
         sessions = stream_sessions(as_listening_events(arriving), lateness="1 hour")
         start_session_sink(sessions, f"{path}/out", f"{path}/state").awaitTermination()
@@ -203,7 +237,9 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sessionize_hot_cells": lambda e: sessionize(e, 6 * 60, parts=64),
     "session_bounds": lambda e: session_bounds(sessionize(e)),
     "session_metrics": lambda e: session_metrics(sessionize(e)),
-    "session_metrics_durable": _durable_metrics,
+    "session_metrics_durable": _from_sessionized(session_metrics),
+    "session_metrics_in_memory": _from_sessionized(session_metrics, "memory"),
+    "session_metrics_on_disk": _from_sessionized(session_metrics, "disk"),
     "session_table": session_table,
     "session_table_6h": lambda e: session_table(e, 6 * 60),
     "session_table_24h": lambda e: session_table(e, 24 * 60),
@@ -211,14 +247,14 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sessions_by_window_subsecond": lambda e: sessions_by_window(e, 0.5 / 60),
     "sessions_by_window_6h": lambda e: sessions_by_window(e, 6 * 60),
     "longest_sessions": lambda e: longest_sessions(session_table(e), SESSIONS),
-    "events_in_longest_sessions": _events_of_longest,
+    "events_in_longest_sessions": _from_sessionized(_events_of_longest),
     "events_within_longest_sessions": events_in_longest_sessions,
-    "song_counts_by_id": _counts_by_id,
+    "song_counts_by_id": _from_sessionized(_counts_by_id),
     "song_counts_by_name": _counts_by_name,
-    "top_songs_by_id": lambda e: top_songs(_counts_by_id(e), SONGS),
+    "top_songs_by_id": _from_sessionized(lambda s: top_songs(_counts_by_id(s), SONGS)),
     "top_songs_by_name": lambda e: top_songs(_counts_by_name(e), SONGS, SONG_BY_NAME),
     "top_songs_in_longest_sessions": top_songs_in_longest_sessions,
-    "top_songs_of_sessionized": lambda e: top_songs_of_sessionized(_sessionized_once(e)),
+    "top_songs_of_sessionized": _from_sessionized(top_songs_of_sessionized),
     "top_songs_5000_sessions": lambda e: top_songs_in_longest_sessions(e, 20, 5000, SONGS),
     "top_songs_by_day_store": _top_songs_by_day_store,
     "top_songs_6h": lambda e: top_songs_in_longest_sessions(e, 6 * 60, 100, 20),
@@ -240,6 +276,8 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 _ON_TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sessions": _streamed_sessions,
     "stream_sessions_complete": _complete_streamed_sessions,
+    "incremental_sessions": _incremental_sessions,
+    "incremental_sessions_by_batch": _merged_sessions,
     "users_scan": _users,
     "users_typed": lambda spark, sf_dir: tsv.typed_users(_users(spark, sf_dir)),
 }
@@ -451,6 +489,8 @@ def _session_sql() -> dict[str, str]:
         "session_bounds": _on_sessions("SELECT * FROM bounds"),
         "session_metrics": _on_sessions("SELECT * FROM m"),
         "session_metrics_durable": _on_sessions("SELECT * FROM m"),
+        "session_metrics_in_memory": _on_sessions("SELECT * FROM m"),
+        "session_metrics_on_disk": _on_sessions("SELECT * FROM m"),
         "session_table": _on_sessions("SELECT * FROM m"),
         "session_table_6h": _on_sessions("SELECT * FROM m", 6 * 60),
         "session_table_24h": _on_sessions("SELECT * FROM m", 24 * 60),
@@ -462,6 +502,8 @@ def _session_sql() -> dict[str, str]:
                   <= (SELECT date_trunc('second', max("timestamp")) FROM e) - INTERVAL 1 HOUR"""
         ),
         "stream_sessions_complete": _on_sessions(unnumbered),
+        "incremental_sessions": _on_sessions(unnumbered),
+        "incremental_sessions_by_batch": _on_sessions(unnumbered),
         "sessions_by_window_subsecond": _on_sessions(unnumbered, 0.5 / 60),
         "longest_sessions": _on_ranking("SELECT * FROM longest"),
         "events_in_longest_sessions": _on_ranking("SELECT * FROM played"),

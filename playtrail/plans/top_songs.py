@@ -5,13 +5,16 @@ from pyspark.sql import DataFrame, SparkSession
 from playtrail.columns import SESSION_KEY, SONG_BY_ID
 from playtrail.operators.metrics import numbered_sessions, session_metrics
 from playtrail.operators.ranking import (
+    events_of_sessions,
     events_within,
     longest_sessions,
     song_counts_by_id,
     songs_in_sessions,
     top_songs,
 )
+from playtrail.operators.sessionize import sessionize
 from playtrail.sources.tsv import read_events, result_name, write_tsv
+from playtrail.storage import Scratch
 
 
 def events_in_longest_sessions(
@@ -77,3 +80,36 @@ def run_top_songs(
     path = f"{output_dir.rstrip('/')}/{result_name(song_number, session_number)}"
     write_tsv(ranked, path, single_file=True)
     return path
+
+
+def run_session_reports(
+    spark: SparkSession,
+    events: DataFrame,
+    output_dir: str,
+    threshold_minutes: float = 20,
+    session_number: int = 50,
+    song_number: int = 10,
+    how: str = "table",
+) -> dict[str, str]:
+    """Batch job for several results from one sessionized table; returns their paths.
+
+    The table is kept for all of them (``how``: memory, disk or table) and released at the
+    end, also if one of them fails.
+    """
+    out = output_dir.rstrip("/")
+    paths = {
+        "sessions": f"{out}/sessions",
+        "events": f"{out}/events_of_longest_sessions",
+        "songs": f"{out}/{result_name(song_number, session_number)}",
+    }
+    with Scratch(spark, "session-reports") as scratch:
+        numbered = scratch.keep(sessionize(events, threshold_minutes), how, "sessionized")
+        sessions = scratch.keep(session_metrics(numbered), how, "sessions")
+        sessions.write.mode("overwrite").parquet(paths["sessions"])
+        chosen = longest_sessions(sessions, session_number)
+        events_of_sessions(numbered, chosen, at_most=session_number).write.mode(
+            "overwrite"
+        ).parquet(paths["events"])
+        ranked = top_songs_of_sessionized(numbered, sessions, session_number, song_number)
+        write_tsv(ranked, paths["songs"], single_file=True)
+    return paths

@@ -39,7 +39,7 @@ from playtrail.plans.top_songs import (
 )
 from playtrail.sources import parquet, tsv
 from playtrail.sources.listening import as_listening_events, read_listening_events
-from playtrail.storage import Scratch, as_table, scratch_path, settle
+from playtrail.storage import Scratch, remove, scratch_path, settle
 from playtrail.streaming.sessions import (
     sessions_by_window,
     start_session_sink,
@@ -162,10 +162,11 @@ def _incremental_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = spark.read.parquet(f"{sf_dir}/events.parquet")
     path = scratch_path(spark, "session-store")
     store = SessionStore(spark, f"{path}/store")
-    for k, slice_ in enumerate((0, 2, 1, 2, 3)):
-        _slice_of(whole, slice_).write.parquet(f"{path}/in/arrival={k}")
-        arriving = spark.readStream.schema(whole.schema).parquet(f"{path}/in/arrival={k}")
-        store.start(as_listening_events(arriving), f"{path}/state-{k}").awaitTermination()
+    for slice_ in (0, 2, 1, 2, 3):
+        _slice_of(whole, slice_).write.parquet(f"{path}/in")
+        arriving = spark.readStream.schema(whole.schema).parquet(f"{path}/in")
+        store.start(as_listening_events(arriving), f"{path}/state").awaitTermination()
+        remove(spark, f"{path}/in")
     return store.sessions()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib.util
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,11 @@ from playtrail.columns import (
     TIMESTAMP,
     TRACK_NAME,
 )
+from playtrail import rollups
 from playtrail.functions.timing import utc_day
-from playtrail.operators import profile
+from playtrail.operators import heavy, profile
 from playtrail.operators.metrics import session_bounds, session_metrics, session_table
-from playtrail.operators.quality import quality_report
+from playtrail.operators.quality import EXPECTED_PRESENT, quality_report
 from playtrail.operators.ranking import (
     events_of_sessions,
     longest_sessions,
@@ -37,7 +39,7 @@ from playtrail.plans.top_songs import (
     top_songs_in_longest_sessions,
     top_songs_of_sessionized,
 )
-from playtrail.sources import parquet, tsv
+from playtrail.sources import clustered, parquet, tsv
 from playtrail.sources.listening import as_listening_events, read_listening_events
 from playtrail.storage import Scratch, remove, scratch_path, settle
 from playtrail.streaming.sessions import (
@@ -154,6 +156,97 @@ def _parquet_days(events: DataFrame, *days: str) -> DataFrame:
     return parquet.read_events(events.sparkSession, path, *days)
 
 
+BUCKETS = 16
+
+
+def _clustered(query: Callable[[DataFrame], DataFrame]):
+    """A query on events that are stored clustered by user and day."""
+
+    def run(events: DataFrame) -> DataFrame:
+        name = f"events_{uuid.uuid4().hex}"
+        path = scratch_path(events.sparkSession, "clustered")
+        return query(clustered.write_events(events, name, path, BUCKETS))
+
+    return run
+
+
+def _lines_round_trip(events: DataFrame) -> DataFrame:
+    spark = events.sparkSession
+    path = scratch_path(spark, "events-lines")
+    as_text = F.date_format(TIMESTAMP, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    tsv.write_lines(_with_odd_titles(events).withColumn(TIMESTAMP, as_text), path)
+    read = tsv.read_lines(spark, path)
+    return read.withColumn(TIMESTAMP, F.col(TIMESTAMP).cast("timestamp_ntz"))
+
+
+def _damaged_lines(events: DataFrame) -> DataFrame:
+    """Event lines in four folders, some of them too short, too long or without a time."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "damaged-lines")
+    number = F.substring(TRACK_NAME, 6, 9).cast("int")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in events.columns]
+    odd_time = [fields[0], F.lit("no time"), *fields[2:]]
+    line = (
+        F.when(number % 11 == 0, F.concat_ws("\t", *fields[:4]))
+        .when(number % 13 == 0, F.concat_ws("\t", *fields, F.lit("more")))
+        .when(number % 7 == 0, F.concat_ws("\t", *odd_time))
+        .otherwise(F.concat_ws("\t", *fields))
+    )
+    source = F.coalesce(number % 4, F.lit(0)).alias("source")
+    events.select(line.alias("line"), source).write.partitionBy("source").text(path)
+    return tsv.scan_events(spark, f"{path}/*")
+
+
+def _lines_per_source(events: DataFrame) -> DataFrame:
+    per_file = tsv.lines_per_file(_damaged_lines(events))
+    source = F.regexp_extract(tsv.FILE, r"source=(\d)", 1).cast("int").alias("source")
+    return per_file.groupBy(source).agg(
+        F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")
+    )
+
+
+def _rejected_by_reason(events: DataFrame) -> DataFrame:
+    lines = tsv.rejected(_damaged_lines(events))
+    return lines.groupBy("reason").agg(F.count("*").alias("lines"))
+
+
+def _accepted_lines(events: DataFrame) -> DataFrame:
+    good = tsv.accepted(_damaged_lines(events))
+    return good.withColumn(TIMESTAMP, F.col(TIMESTAMP).cast("timestamp_ntz"))
+
+
+def _stored_days(rollup: DataFrame, *days: str) -> DataFrame:
+    """A rollup written twice over, as if delivered again, and read back for some days."""
+    path = scratch_path(rollup.sparkSession, "rollup")
+    for _ in range(2):
+        rollups.write_days(rollup, path)
+    return rollups.read_days(rollup.sparkSession, path, *days)
+
+
+def _distinct_from_sketches(events: DataFrame) -> DataFrame:
+    """Distinct values over a range of days from stored sketches, held against exact counts."""
+    found = rollups.distinct_values(_stored_days(rollups.distinct_sketches(events), *DAYS))
+    in_range = rollups.day_of().between(*[F.lit(day).cast("date") for day in DAYS])
+    return profile.held_against(profile.exact_distinct(events.filter(in_range)), found)
+
+
+def _presence(events: DataFrame) -> DataFrame:
+    return rollups.presence_counts(events, list(EXPECTED_PRESENT))
+
+
+def _top_songs_of_days(events: DataFrame) -> DataFrame:
+    """Bucket counts stored per day and added up, then exact counts of what may be on top."""
+    spark, path = events.sparkSession, scratch_path(events.sparkSession, "bucket-counts")
+    odd = F.unix_date(rollups.day_of()) % 2
+    for k in range(2):
+        own = events.filter((odd == k) & F.col(SONG_BY_ID[0]).isNotNull())
+        heavy.bucket_counts(own).write.mode("append").parquet(path)
+    timeless = events.filter(F.col(TIMESTAMP).isNull() & F.col(SONG_BY_ID[0]).isNotNull())
+    heavy.bucket_counts(timeless).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    return heavy.top_songs_by_bound(events, SONGS, counts=stored)
+
+
 def _incremental_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices of time arrive out of order, one of them twice; the store takes up each once.
 
@@ -222,6 +315,11 @@ def _complete_streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "events_scan": lambda e: e,
     "events_scan_tsv": _tsv_round_trip,
+    "events_scan_lines": _lines_round_trip,
+    "events_accepted_lines": _accepted_lines,
+    "events_lines_per_source": _lines_per_source,
+    "events_rejected_by_reason": _rejected_by_reason,
+    "events_clustered": _clustered(clustered.plain_events),
     "events_by_day": _parquet_days,
     "events_in_date_range": lambda e: _parquet_days(e, *DAYS),
     "events_with_song_id": with_song_id,
@@ -236,6 +334,9 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sessionize_6h": lambda e: sessionize(e, 6 * 60),
     "sessionize_24h": lambda e: sessionize(e, 24 * 60),
     "sessionize_hot_cells": lambda e: sessionize(e, 6 * 60, parts=64),
+    "sessionize_clustered": _clustered(clustered.sessionize_stored),
+    "sessionize_clustered_6h": _clustered(lambda s: clustered.sessionize_stored(s, 6 * 60)),
+    "session_table_clustered": _clustered(clustered.session_table_stored),
     "session_bounds": lambda e: session_bounds(sessionize(e)),
     "session_metrics": lambda e: session_metrics(sessionize(e)),
     "session_metrics_durable": _from_sessionized(session_metrics),
@@ -259,6 +360,9 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "top_songs_5000_sessions": lambda e: top_songs_in_longest_sessions(e, 20, 5000, SONGS),
     "top_songs_by_day_store": _top_songs_by_day_store,
     "top_songs_6h": lambda e: top_songs_in_longest_sessions(e, 6 * 60, 100, 20),
+    "top_songs_by_bound": lambda e: heavy.top_songs_by_bound(e, SONGS),
+    "top_songs_by_bound_crowded": lambda e: heavy.top_songs_by_bound(e, SONGS, buckets=7),
+    "top_songs_by_bound_of_days": _top_songs_of_days,
     "compare_song_identity": lambda e: compare_song_identity(
         events_in_longest_sessions(e), SONGS
     ),
@@ -266,10 +370,17 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "profile_time_range": profile.time_range,
     "profile_missing_values": profile.missing_values,
     "profile_missing_pct": profile.missing_pct,
-    "profile_approx_distinct": profile.approx_distinct,
+    "profile_approx_distinct": lambda e: profile.held_against(
+        profile.exact_distinct(e), profile.approx_distinct_bounds(e)
+    ),
+    "profile_distinct_sketches": _distinct_from_sketches,
     "profile_approx_distinct_check": profile.approx_distinct_check,
     "track_ids_per_song": profile.track_ids_per_song,
     "quality_report": quality_report,
+    "quality_between_days": lambda e: rollups.quality_between(
+        _stored_days(_presence(e), *DAYS), EXPECTED_PRESENT
+    ),
+    "quality_drift": lambda e: rollups.quality_drift(_stored_days(_presence(e)), days=3),
     "quality_by_day": lambda e: quality_report(e, per={"day": utc_day(F.col(TIMESTAMP))}),
 }
 
@@ -439,6 +550,39 @@ def _session_sql() -> dict[str, str]:
             FROM e"""
         for name in EVENT_SCHEMA.fieldNames()
     )
+    def held(table: str) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT '{name}' AS "column", count(DISTINCT "{name}") AS exact,
+                true AS lower_holds, true AS upper_holds FROM {table}"""
+            for name in EVENT_SCHEMA.fieldNames()
+        )
+
+    present = " UNION ALL ".join(
+        f"""SELECT CAST("timestamp" AS DATE) AS event_date, '{name}' AS "column",
+            count("{name}") AS present, count(*) AS total
+            FROM e WHERE "timestamp" IS NOT NULL GROUP BY 1"""
+        for name in EXPECTED_PRESENT
+    )
+    drift = f""", p AS ({present}), b AS (
+            SELECT d.event_date, d."column", d.present / d.total AS observed,
+                   sum(x.present) / sum(x.total) AS observed_before
+            FROM p d LEFT JOIN p x ON x."column" = d."column"
+                 AND x.event_date BETWEEN d.event_date - 3 AND d.event_date - 1
+            GROUP BY d.event_date, d."column", d.present, d.total
+        )
+        SELECT *, observed_before - observed AS "drop",
+               coalesce(observed_before - observed <= 0.05, true) AS passed FROM b"""
+    lines = """, l AS (
+            SELECT *, CASE WHEN n % 11 = 0 THEN 'too few fields'
+                           WHEN n % 13 = 0 THEN 'too many fields'
+                           WHEN n % 7 = 0 THEN 'unreadable timestamp' END AS fault
+            FROM (SELECT *, CAST(substr(track_name, 6) AS INTEGER) AS n FROM e)
+        )"""
+    most_played = f"""SELECT {", ".join(SONG_BY_ID)}, count(*) AS song_count FROM e
+        WHERE musicbrainz_track_id IS NOT NULL GROUP BY ALL
+        ORDER BY song_count DESC, musicbrainz_track_id NULLS FIRST, track_name NULLS FIRST,
+                 artist_name NULLS FIRST
+        LIMIT {SONGS}"""
     users = """d AS (
             SELECT 'user_' || c_custkey AS user_id,
                    DATE '2005-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS day FROM customer
@@ -462,6 +606,24 @@ def _session_sql() -> dict[str, str]:
                    WHEN 3 THEN track_name || chr(13) || chr(10) || 'second' || chr(10) || 'third'
                END AS track_name) FROM e"""
         ),
+        "events_scan_lines": _on_events(
+            """SELECT * REPLACE (CASE CAST(substr(track_name, 6) AS INTEGER) % 4
+                   WHEN 0 THEN '"' || track_name || '"'
+                   WHEN 1 THEN track_name || chr(9) || '"x'
+                   WHEN 2 THEN ' ' || track_name || '\\'
+                   WHEN 3 THEN track_name || chr(13) || chr(10) || 'second' || chr(10) || 'third'
+               END AS track_name) FROM e"""
+        ),
+        "events_accepted_lines": _on_events(f"{lines} SELECT * EXCLUDE (n, fault) FROM l WHERE fault IS NULL"),
+        "events_lines_per_source": _on_events(
+            f"""{lines} SELECT CAST(coalesce(n % 4, 0) AS INTEGER) AS source,
+                   count(*) FILTER (WHERE fault IS NULL) AS accepted, count(fault) AS rejected
+            FROM l GROUP BY 1"""
+        ),
+        "events_rejected_by_reason": _on_events(
+            f"{lines} SELECT fault AS reason, count(*) AS lines FROM l WHERE fault IS NOT NULL GROUP BY 1"
+        ),
+        "events_clustered": _on_events("SELECT * FROM e"),
         "events_by_day": _on_events("SELECT * FROM e"),
         "events_in_date_range": _on_events(
             f"SELECT * FROM e WHERE CAST(\"timestamp\" AS DATE) "
@@ -487,6 +649,9 @@ def _session_sql() -> dict[str, str]:
         "sessionize_6h": _on_sessions("SELECT * FROM s", 6 * 60),
         "sessionize_24h": _on_sessions("SELECT * FROM s", 24 * 60),
         "sessionize_hot_cells": _on_sessions("SELECT * FROM s", 6 * 60),
+        "sessionize_clustered": _on_sessions("SELECT * FROM s"),
+        "sessionize_clustered_6h": _on_sessions("SELECT * FROM s", 6 * 60),
+        "session_table_clustered": _on_sessions("SELECT * FROM m"),
         "session_bounds": _on_sessions("SELECT * FROM bounds"),
         "session_metrics": _on_sessions("SELECT * FROM m"),
         "session_metrics_durable": _on_sessions("SELECT * FROM m"),
@@ -520,6 +685,9 @@ def _session_sql() -> dict[str, str]:
         "top_songs_6h": _on_ranking(
             f"SELECT {ids} FROM top_id", minutes=6 * 60, sessions=100, songs=20
         ),
+        "top_songs_by_bound": _on_events(most_played),
+        "top_songs_by_bound_crowded": _on_events(most_played),
+        "top_songs_by_bound_of_days": _on_events(most_played),
         "compare_song_identity": _on_ranking(
             """, n AS (
                 SELECT *, row_number() OVER (ORDER BY song_count DESC,
@@ -550,6 +718,17 @@ def _session_sql() -> dict[str, str]:
         "quality_report": _on_events(expectations),
         "quality_by_day": _on_events(by_day),
         "profile_approx_distinct_check": _on_events(exact),
+        "profile_approx_distinct": _on_events(held("e")),
+        "profile_distinct_sketches": _on_events(
+            f"""SELECT * FROM (WITH r AS (SELECT * FROM e WHERE CAST("timestamp" AS DATE)
+                BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}') {held("r")})"""
+        ),
+        "quality_between_days": _on_events(
+            f"""SELECT * FROM (WITH e_all AS (SELECT * FROM e), r AS (SELECT * FROM e_all
+                WHERE CAST("timestamp" AS DATE) BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}')
+                {expectations.replace("FROM e", "FROM r")})"""
+        ),
+        "quality_drift": _on_events(f"{drift}"),
         "users_scan": f"WITH {users} SELECT * FROM u",
         "users_typed": f"""WITH {users}
             SELECT user_id, gender, CAST(age AS INTEGER) AS age, country, day AS registered

@@ -69,6 +69,52 @@ def approx_distinct_check(df: DataFrame, rsd: float = 0.05, deviations: float =
     return found.select(F.inline(lines)).select("column", "exact", (~far).alias("in_bounds"))
 
 
+def approx_distinct_bounds(df: DataFrame, rsd: float = 0.05, deviations: float = 4) -> DataFrame:
+    """Per column: the estimate of ``approx_distinct``, and the bounds it gives for the number.
+
+    They lie ``deviations`` relative standard deviations of the sketch below and above.
+    """
+    lines = F.array(
+        *[
+            F.struct(F.lit(name).alias("column"), F.col(f"guess_{i}").alias("estimate"))
+            for i, name in enumerate(df.columns)
+        ]
+    )
+    guess = [
+        F.approx_count_distinct(named(name), rsd).alias(f"guess_{i}")
+        for i, name in enumerate(df.columns)
+    ]
+    reach = deviations * rsd
+    return df.agg(*guess).select(F.inline(lines)).select(
+        "column",
+        "estimate",
+        F.ceil(F.col("estimate") / (1 + reach)).alias("at_least"),
+        F.floor(F.col("estimate") / (1 - reach)).alias("at_most"),
+    )
+
+
+def exact_distinct(df: DataFrame) -> DataFrame:
+    """Per column the exact number of distinct values, for holding estimates against."""
+    exact = [F.count_distinct(named(name)).alias(f"exact_{i}") for i, name in enumerate(df.columns)]
+    lines = F.array(
+        *[
+            F.struct(F.lit(name).alias("column"), F.col(f"exact_{i}").alias("exact"))
+            for i, name in enumerate(df.columns)
+        ]
+    )
+    return df.agg(*exact).select(F.inline(lines))
+
+
+def held_against(exact: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Per column the exact number, and whether each bound holds for it."""
+    return exact.join(bounds, "column").select(
+        "column",
+        "exact",
+        (F.col("at_least") <= F.col("exact")).alias("lower_holds"),
+        (F.col("exact") <= F.col("at_most")).alias("upper_holds"),
+    )
+
+
 def named(name: str) -> Column:
     """A column by its literal name, which may hold dots."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -171,3 +171,68 @@ def test_days_do_not_depend_on_the_zone(spark, tmp_path):
 def test_a_written_table_lies_where_the_caller_says(spark, tmp_path):
     table = as_table(spark.range(3), "three", str(tmp_path / "mine"))
     assert table.count() == 3 and list((tmp_path / "mine").glob("*.parquet"))
+
+
+# lines that do not parse, and lines that can be split anywhere
+
+
+def test_good_lines_are_read_as_before_and_others_are_kept_aside(spark, tmp_path):
+    good = list(sample_lines())
+    bad = [
+        "u1\tgarbage\ta\tb\tc\td",
+        "u3\t2024-04-21T00:00:00Z\ta",
+        "u4\t2024-04-21T00:00:00Z\ta\tb\tc\td\textra",
+        "lonely",
+    ]
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    written(mixed / "a.tsv", *good[:3], bad[0], *good[3:], bad[1])
+    written(mixed / "b.tsv", *bad[2:])
+    scanned = tsv.scan_events(spark, str(mixed))
+    assert tsv.accepted(scanned).schema == EVENT_SCHEMA
+    plain = tsv.read_events(spark, written(tmp_path / "good.tsv", *good))
+    assert tsv.accepted(scanned).orderBy("user_id", "timestamp").collect() == plain.orderBy(
+        "user_id", "timestamp"
+    ).collect()
+    found = {(r.file[-5:], r.rejected_line, r.reason) for r in tsv.rejected(scanned).collect()}
+    assert found == {
+        ("a.tsv", bad[0], "unreadable timestamp"),
+        ("a.tsv", bad[1], "too few fields"),
+        ("b.tsv", bad[2], "too many fields"),
+        ("b.tsv", bad[3], "too few fields"),
+    }
+    counts = {r.file[-5:]: (r.accepted, r.rejected) for r in tsv.lines_per_file(scanned).collect()}
+    assert counts == {"a.tsv": (len(good), 2), "b.tsv": (0, 2)}
+
+
+def test_what_is_rejected_does_not_depend_on_the_columns_asked_for(spark, tmp_path):
+    path = written(tmp_path / "e.tsv", "u1\tgarbage\ta\tb\tc\td", *sample_lines())
+    scanned = tsv.scan_events(spark, path)
+    assert tsv.accepted(scanned).select("track_name").count() == len(sample.EVENTS)
+    assert tsv.accepted(scanned).select("user_id").filter("user_id = 'u1'").isEmpty()
+
+
+ODD_TEXTS = ['"', "a\tb", "line\nbreak\r\nand more", "back\\slash", "\\n", "\\\\", "\\e", "", None,
+             "  blanks ", "\\", "tail\\", 'q"q', "#x", "é\n\t\"\\"]
+
+
+def test_lines_read_back_whole(spark, tmp_path):
+    rows = [(f"u{k}", at("2024-04-21 00:00:00"), t, t, "x", t) for k, t in enumerate(ODD_TEXTS)]
+    rows.append((None, None, None, None, None, None))
+    tsv.write_lines(spark.createDataFrame(rows, EVENT_SCHEMA), str(tmp_path / "lines"))
+    found = tsv.read_lines(spark, str(tmp_path / "lines"))
+    assert sorted((tuple(r) for r in found.collect()), key=str) == sorted(rows, key=str)
+    assert len(part_text(tmp_path / "lines").splitlines()) == len(rows)
+
+
+def test_a_large_file_of_lines_is_read_by_several_tasks(spark, tmp_path):
+    rows = [(f"u{k}", at("2024-04-21 00:00:00"), "a\nb", "c", "d", 'e"\n') for k in range(2000)]
+    path = str(tmp_path / "lines")
+    tsv.write_lines(spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1), path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        found = tsv.read_lines(spark, path)
+        assert found.rdd.getNumPartitions() > 3
+        assert found.groupBy("artist_name", "track_name").count().collect() == [("c", 'e"\n', 2000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -2,10 +2,10 @@
 
 ``pieces`` turns texts into token ids with a public tokenizer and cuts overlong
 documents into full windows and one rest. ``pack`` deals the pieces to groups by
-a hash of document and start, so that no document, however long, and no copy
+a hash of their own number, so that no document, however long, and no copy
 fills a group by itself; within a group, pieces go in order of decreasing length
 to the tightest open window. A group leaves one window's worth of padding or so,
-hence groups hold some ten thousand documents, in memory a few numbers per piece.
+hence groups hold some ten thousand pieces, in memory a few numbers each.
 
 Defined results: a null or empty text has only its end id; repeated rows are
 packed once each; ties of length go by document and start. Only the id and the
@@ -14,29 +14,36 @@ text are read, so other columns cannot clash.
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playtrail.llm.stages import keep_table
 from playtrail.llm.textbytes import UNBLANK, Texts, slices
 
 CAPACITY = 2048
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Documents per packing group, in the mean.
-GROUP_DOCS = 20_000
-#: Units whose ids a worker remembers; beyond it, it starts anew.
-KNOWN_UNITS = 500_000
+#: Pieces per packing group, in the mean.
+GROUP_PIECES = 20_000
+#: Units whose ids a worker remembers; beyond it, it drops the half not used for longest.
+KNOWN_UNITS = 2_000_000
+#: Longer units are known by a cryptographic hash, as polynomial ones can collide by design.
+LONG_UNIT = 512
 
 _LETTER, _SIGN, _OTHER = 1, 2, 0
 _KIND = np.zeros(256, np.uint8)
 _KIND[65:91] = _KIND[97:123] = _LETTER
 _KIND[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), 123, 125, 126]] = _SIGN
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_PACKED = f"{_PIECES}, sequence_id long, offset long"
+_PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_PIECES = f"serial long, {_PIECE}"
+_PACKED = f"{_PIECE}, sequence_id long, offset long"
 
 
 class UnitTokenizer:
@@ -56,11 +63,14 @@ class UnitTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.first = np.zeros(1 << 12, np.int64)
-        self.size = np.zeros(1 << 12, np.int64)
-        self.ids = np.zeros(1 << 14, np.uint32)
-        self.used = 0
+        """Start without any known units. They are kept as arrays in order of their hashes:
+        number, age, and where their ids begin in ``ids``."""
+        self.keys = np.zeros(0, np.uint64)
+        self.first = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int32)
+        self.used = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
+        self.round = 0
 
     def units(self, part: Texts) -> tuple[np.ndarray, np.ndarray, Texts]:
         data = part.data
@@ -91,34 +101,52 @@ class UnitTokenizer:
         """All ids of the texts of a slice, and where each text's ids start."""
         starts, ends, low = self.units(part)
         hashes = low.hasher()(starts, ends)
+        for k in np.flatnonzero(ends - starts > LONG_UNIT).tolist():
+            told = blake2b(low.data[starts[k] : ends[k]].tobytes(), digest_size=8)
+            hashes[k] = int.from_bytes(told.digest(), "little")
         distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        if len(self.slot) > KNOWN_UNITS:
-            self.forget()
-        get = self.slot.get
-        new = [i for i, key in enumerate(keys) if get(key) is None]
-        if new:
-            self._learn([keys[i] for i in new], low.data, starts[at[new]], ends[at[new]])
-        slots = np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))[back]
+        self.round += 1
+        slot = np.searchsorted(self.keys, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = slot < len(self.keys)
+        new[inside] = self.keys[slot[inside]] != distinct[inside]
+        if new.any():
+            self._learn(distinct[new], low.data, starts[at[new]], ends[at[new]])
+            slot = np.searchsorted(self.keys, distinct)
+        self.used[slot] = self.round
+        slots = slot[back]
         size, first = self.size[slots], self.first[slots]
-        ahead = np.cumsum(size) - size
+        ahead = np.cumsum(size, dtype=np.int64) - size
         total = int(size.sum())
         ids = self.ids[np.arange(total) + np.repeat(first - ahead, size)]
         bounds = np.append(ahead, total)[np.searchsorted(starts, part.bounds)]
+        if len(self.keys) > KNOWN_UNITS:
+            self._drop_oldest()
         return ids, bounds
 
     def _learn(self, keys, data, starts, ends) -> None:
-        texts = [bytes(data[a:b]).decode() for a, b in zip(starts.tolist(), ends.tolist())]
-        for encoded, key in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), keys):
-            slot, ids = len(self.slot), encoded.ids
-            while slot >= len(self.first):
-                self.first, self.size = np.resize(self.first, 2 * slot), np.resize(self.size, 2 * slot)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.first[slot], self.size[slot] = self.used, len(ids)
-            self.used += len(ids)
-            self.slot[key] = slot
+        """Encode new units (in order of their keys) and sort them in."""
+        view = data.tobytes()
+        texts = [view[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        lists = [e.ids for e in encoded]
+        size = np.fromiter(map(len, lists), np.int32, len(lists))
+        first = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
+        more = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+        self.ids = np.concatenate([self.ids, more])
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.first = np.insert(self.first, at, first)
+        self.size = np.insert(self.size, at, size)
+        self.used = np.insert(self.used, at, self.round)
+
+    def _drop_oldest(self) -> None:
+        """Keep the half of the known units that was used last."""
+        kept = self.used > np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
+        size, first = self.size[kept], self.first[kept]
+        ahead = np.cumsum(size, dtype=np.int64) - size
+        self.ids = self.ids[np.arange(int(size.sum())) + np.repeat(first - ahead, size)]
+        self.keys, self.used, self.size, self.first = self.keys[kept], self.used[kept], size, ahead
 
 
 _tokenizers: dict[str, UnitTokenizer] = {}
@@ -139,10 +167,14 @@ def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, np.ndarray]]:
 def pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, id_col="doc_id", text_col="text"
 ) -> DataFrame:
-    """A row per piece: full windows of long documents, and every rest."""
+    """A row per piece: full windows of long documents, and every rest.
+
+    ``serial`` numbers the rows, for good once the table is written.
+    """
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path)
+        serial = TaskContext.get().partitionId() << 40
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for part in slices(batch.column(1)):
@@ -152,10 +184,11 @@ def pieces(
                     own = np.append(ids[bounds[k] : bounds[k + 1]], END).astype("<u4")
                     doc = doc_ids[part.first_row + k]
                     for start, piece in cut(own, capacity):
-                        rows.append((doc, start, len(piece), zlib.crc32(piece), len(own)))
+                        rows.append((serial, doc, start, len(piece), zlib.crc32(piece), len(own)))
+                        serial += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*rows)],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                    names=["serial", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
 
     narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
@@ -222,14 +255,14 @@ def pack(found: DataFrame, groups: int, capacity: int = CAPACITY) -> DataFrame:
 
     def fill(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
-            ["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True]
+            ["length", "doc_id", "start", "serial"], ascending=[False, True, True, True]
         )
         window, offset = best_fit_decreasing(frame["length"].to_numpy(), capacity)
         frame["sequence_id"] = (int(key[0]) << 40) + window
         frame["offset"] = offset
-        return frame.drop(columns="packing_group")
+        return frame.drop(columns=["packing_group", "serial"])
 
-    dealt = found.withColumn("packing_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = found.withColumn("packing_group", F.pmod(F.xxhash64("serial"), F.lit(groups)))
     return dealt.groupBy("packing_group").applyInPandas(fill, _PACKED)
 
 
@@ -237,9 +270,10 @@ def pack_documents(
     docs: DataFrame,
     path: str,
     capacity: int = CAPACITY,
-    group_docs: int = GROUP_DOCS,
+    group_pieces: int = GROUP_PIECES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    groups = max(1, round(docs.count() / group_docs))
-    return pack(pieces(docs, path, capacity, id_col, text_col), groups, capacity)
+    """Pieces of all documents with their sequences; the pieces are written once and counted."""
+    found = keep_table(pieces(docs, path, capacity, id_col, text_col), "pieces")
+    return pack(found, max(1, round(found.count() / group_pieces)), capacity)

@@ -181,7 +181,12 @@ def test_packing_holds_every_token_once(spark, odd_docs, no_docs):
     assert packing.pack_documents(no_docs, path).collect() == []
     rows = [(i, prose(i, 20 + 13 * i)) for i in range(60)]
     docs = spark.createDataFrame(rows, DOCS)
-    check_packing(rows, packing.pack_documents(docs, path, group_docs=7).collect(), path)
+    check_packing(rows, packing.pack_documents(docs, path, group_pieces=7).collect(), path)
+    # copies of one row are dealt to several groups, as any pieces are
+    copies = spark.createDataFrame([(None, "a word")] * 400, DOCS)
+    found = packing.pack_documents(copies, path, group_pieces=40).collect()
+    check_packing([(None, "a word")] * 400, found, path)
+    assert len({r.sequence_id >> 40 for r in found}) == 10
 
 
 def test_units_give_the_ids_of_whole_texts():
@@ -198,6 +203,20 @@ def test_units_give_the_ids_of_whole_texts():
         assert ids[cut[k] : cut[k + 1]].tolist() == one.ids, texts[k][:60]
 
 
+def test_known_units_are_dropped_by_age_and_learned_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "KNOWN_UNITS", 60)
+    path = tokenizer_path()
+    units, plain = packing.UnitTokenizer(path), Tokenizer.from_file(path)
+    for k in [*range(12), *range(12)]:
+        text = prose(k, 40) + "x" * 2000 + " " + "ab" * 700
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, cut = units.encode(Texts(data, np.array([0, len(data)])))
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(units.keys) <= 60 and (np.diff(units.keys.astype(object)) > 0).all()
+
+
 def test_best_fit_takes_the_tightest_window():
     lengths = np.array([9, 7, 6, 4, 3, 2, 1])
     window, offset = packing.best_fit_decreasing(lengths, 10)

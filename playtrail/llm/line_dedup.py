@@ -18,6 +18,10 @@ unchanged in the other line, near its old place.
 3. ``edit_distances`` verifies candidates with bit-parallel edit distance in a band
    around the diagonal, for many pairs at once.
 
+With ``symbols_per_edit``, the edits that link two lines grow with the shorter one: one for
+each so many symbols, up to ``edits``. Lines of fewer symbols are then linked to none, for
+two edits make "Yes" of "No" and "12" of "Ab".
+
 Lines are told apart by a 64-bit hash and equal lines are one line from the start,
 so what travels is packed numbers; a line that stands in a third of all documents
 sends a few entries per slice of text. Texts move once, to verify candidates.
@@ -67,10 +71,10 @@ class Lines:
         self.heads = np.searchsorted(at, self.starts)
         self.sizes = np.searchsorted(at, self.ends) - self.heads
 
-    def long_ones(self, least: int) -> np.ndarray:
+    def long_ones(self, least: int, least_symbols: int = 0) -> np.ndarray:
         """One of each distinct line that is long enough."""
         _, at = np.unique(self.names, return_index=True)
-        return at[self.ends[at] - self.starts[at] >= least]
+        return at[(self.ends[at] - self.starts[at] >= least) & (self.sizes[at] >= least_symbols)]
 
 
 def _symbol_starts(data: np.ndarray, starts: np.ndarray, in_characters: bool) -> np.ndarray:
@@ -135,9 +139,11 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def entries(lines: Lines, edits: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def entries(
+    lines: Lines, edits: int, least: int, least_symbols: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, lines and symbol counts; the last bit of a key is 1 for lookups."""
-    which = lines.long_ones(least)
+    which = lines.long_ones(least, least_symbols)
     start, length = lines.heads[which], lines.sizes[which]
     keys, owner = [], []
 
@@ -252,7 +258,12 @@ def _plain_distance(x, y) -> int:
 
 
 def candidate_pairs(
-    docs: DataFrame, edits: int, least: int, text_col: str = "text", in_characters: bool = False
+    docs: DataFrame,
+    edits: int,
+    least: int,
+    text_col: str = "text",
+    in_characters: bool = False,
+    least_symbols: int = 0,
 ) -> DataFrame:
     """Distinct pairs (a, b) of line hashes that share a segment at a possible place."""
     buckets = partitions(docs.sparkSession)
@@ -260,7 +271,8 @@ def candidate_pairs(
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(0)):
-                keys, names, counts = entries(Lines(part, in_characters), edits, least)
+                found = entries(Lines(part, in_characters), edits, least, least_symbols)
+                keys, names, counts = found
                 bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -313,6 +325,7 @@ def links(
     least: int = MIN_BYTES,
     text_col: str = "text",
     in_characters: bool = False,
+    symbols_per_edit: int = 0,
 ) -> DataFrame:
     """a, b and distance of every pair of different lines within ``edits`` edits.
 
@@ -330,13 +343,18 @@ def links(
             for k in range(0, n, 512):
                 own = order[k : k + 512]
                 distance[own] = edit_distances(texts, own, own + n, edits, in_characters)
-            kept = pa.array(distance <= edits)
+            allowed = np.full(n, edits)
+            if symbols_per_edit:
+                length = np.diff(symbols(texts, in_characters)[1])
+                allowed = np.minimum(edits, np.minimum(length[:n], length[n:]) // symbols_per_edit)
+            kept = pa.array(distance <= allowed)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(distance)],
                 names=["a", "b", "distance"],
             ).filter(kept)
 
-    pairs = keep_table(candidate_pairs(docs, edits, least, text_col, in_characters), "line-pairs")
+    found = candidate_pairs(docs, edits, least, text_col, in_characters, symbols_per_edit)
+    pairs = keep_table(found, "line-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     # how many lines are needed has no bound: meet them by a shuffle at every size
     texts = line_texts(docs, least, text_col).join(needed.hint("merge"), "name", "left_semi")
@@ -402,12 +420,13 @@ def line_classes(
     id_col: str = "doc_id",
     text_col: str = "text",
     in_characters: bool = False,
+    symbols_per_edit: int = 0,
 ) -> DataFrame:
     """A row per distinct line: its first place, copies, links, and its class's first place.
 
     A class is what links lead to; a line without links is a class of its own.
     """
-    found = links(docs, edits, least, text_col, in_characters)
+    found = links(docs, edits, least, text_col, in_characters, symbols_per_edit)
     lines = keep_table(
         occurrences(docs, id_col, text_col, in_characters)
         .groupBy("name")
@@ -420,7 +439,9 @@ def line_classes(
         "distinct-lines",
     )
     # lines of at most ``edits`` symbols are all linked: each to one of them stands for the pairs
-    few = lines.filter((F.col("n_symbols") <= edits) & (F.col("n_bytes") >= least))
+    all_linked = (F.col("n_symbols") <= edits) & (F.col("n_bytes") >= least)
+    all_linked = all_linked & F.lit(not symbols_per_edit)
+    few = lines.filter(all_linked)
     n_few, least_few = few.agg(F.count("*"), F.min("name")).first()
     also = few.select(F.lit(least_few).cast("long").alias("a"), F.col("name").alias("b"))
     degree = (
@@ -447,7 +468,7 @@ def line_classes(
         "n_copies",
         (
             F.coalesce("n_links", F.lit(0))
-            + F.when((F.col("n_symbols") <= edits) & (F.col("n_bytes") >= least), n_few - 1).otherwise(0)
+            + F.when(all_linked, n_few - 1).otherwise(0)
         ).alias("n_links"),
         "place",
         F.coalesce("class_place", "place").alias("class_place"),
@@ -461,6 +482,7 @@ def without_repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     in_characters: bool = False,
+    symbols_per_edit: int = 0,
 ) -> DataFrame:
     """All rows and columns of ``docs``; of each class of lines, only the first stays.
 
@@ -469,7 +491,7 @@ def without_repeated_lines(
     """
     row = "row_of_line_dedup"
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    classes = line_classes(docs, edits, least, id_col, text_col, in_characters)
+    classes = line_classes(docs, edits, least, id_col, text_col, in_characters, symbols_per_edit)
     repeated = classes.filter(F.col("n_bytes") >= least).filter(
         (F.col("n_copies") > 1) | (F.col("place") != F.col("class_place"))
     )

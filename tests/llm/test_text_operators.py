@@ -394,7 +394,7 @@ def test_line_classes_match_brute_force(spark):
     assert found_lines(spark.createDataFrame(rows, DOCS).repartition(3)) == plain_lines(rows)
 
 
-def plain_lines_in_characters(rows, edits=2):
+def plain_lines_in_characters(rows, edits=2, per=0):
     first, copies = {}, Counter()
     for doc, text in rows:
         for n, line in enumerate(x for x in text.split("\n") if x):
@@ -403,7 +403,8 @@ def plain_lines_in_characters(rows, edits=2):
     group, degree = {x: {x} for x in first}, Counter()
     for a in first:
         for b in first:
-            if a < b and plain_distance(a, b) <= edits:
+            allowed = min(edits, min(len(a), len(b)) // per) if per else edits
+            if a < b and plain_distance(a, b) <= allowed:
                 degree[a] += 1
                 degree[b] += 1
                 both = group[a] | group[b]
@@ -414,28 +415,34 @@ def plain_lines_in_characters(rows, edits=2):
     )
 
 
-def test_lines_of_every_length_match_brute_force_in_characters(spark):
+@pytest.mark.parametrize("per", [0, 4, 16])
+def test_lines_of_every_length_match_brute_force_in_characters(spark, per):
     import random
 
     pick = random.Random(3)
     lines = ["Copyright 2023 X", "Copyright 2024 X", "日本語の見出し", "日本語見出", "thumbs \U0001f44d up", "thumbs up"]
-    lines += ["a" * 31, "a" * 32, "z", "é", "qz", "日本", "zqzq", "Home page", "Hone page", "unlike anything else"]
+    lines += ["a" * 31, "a" * 32, "a" * 33, "a" * 34, "aé" * 8, "aé" * 8 + "b", "z", "é", "qz", "日本", "zqzq", "Home page", "Hone page", "unlike anything else"]
     lines += ["".join(pick.choices("abcdeé語", k=pick.randrange(1, 12))) for _ in range(80)]
     rows = [(i, "\n".join(lines[i : i + 3])) for i in range(len(lines))]
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     found = Counter(
         ((r.place.id, r.place.line_no), r.n_bytes, r.n_copies, r.n_links, (r.class_place.id, r.class_place.line_no))
-        for r in line_dedup.line_classes(docs, least=line_dedup.EVERY_LINE, in_characters=True).collect()
+        for r in line_dedup.line_classes(
+            docs, least=line_dedup.EVERY_LINE, in_characters=True, symbols_per_edit=per
+        ).collect()
     )
-    assert found == plain_lines_in_characters(rows)
+    assert found == plain_lines_in_characters(rows, per=per)
 
 
-def test_the_pipeline_drops_copies_of_short_lines(spark):
+def test_the_pipeline_drops_copies_of_short_lines_and_keeps_unlike_ones(spark):
     import corpus_pipeline
 
-    rows = [(1, "Main menu\nfirst text here"), (2, "Main menu\nanother one, quite unlike"), (3, "Main menus")]
+    rows = [(1, "Main menu\nYes\nfirst text here"), (2, "Main menu\nNo\nanother one, quite unlike"),
+            (3, "Main menus\n12"), (4, "first text there\nYes")]
     out = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, DOCS), "")
-    assert {r.doc_id: r.text for r in out.collect()} == {1: rows[0][1], 2: "another one, quite unlike", 3: ""}
+    assert {r.doc_id: r.text for r in out.collect()} == {
+        1: rows[0][1], 2: "No\nanother one, quite unlike", 3: rows[2][1], 4: "first text there",
+    }
 
 
 def test_line_classes_of_odd_rows(spark, odd_docs, no_docs):

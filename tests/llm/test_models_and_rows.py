@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import zlib
 from collections import defaultdict
 from pathlib import Path
 
@@ -10,9 +12,12 @@ import pytest
 from odd import DOCS, odd_rows, prose
 from pyspark.sql import functions as F
 
+from test_text_operators import LOWER
+
 import corpus_pipeline
 from playtrail.llm import chat, packing, quality, registry, toxicity, vectors
 from playtrail.llm.components import components
+from playtrail.llm.textbytes import WORD, Texts
 
 LABELS = "doc_id long, quality int, toxic int"
 DATA = Path("/root/testdata/sf0.001")
@@ -58,6 +63,55 @@ def test_toxic_words_are_learned_and_severity_rises_with_them(spark, labelled):
     assert (np.diff(model.thresholds) > 0).all()
 
 
+def plain_likelihood(x, grade, weight, weights, thresholds, ridge=1.0):
+    """The penalised likelihood of the cumulative-link model, row by row."""
+    total = 0.0
+    for row, g, w in zip(x, grade, weight):
+        z = float(row @ weights)
+        below = [0.0, *(1 / (1 + np.exp(-(t - z))) for t in thresholds), 1.0]
+        total += w * np.log(below[g + 1] - below[g])
+    return total - ridge / 2 * float(weights @ weights)
+
+
+def test_ordinal_fit_is_where_the_likelihood_is_greatest():
+    draw = np.random.RandomState(4)
+    x = (draw.rand(300, 5) < 0.4) * np.log1p(draw.randint(1, 4, (300, 5)))
+    grade = np.digitize(x @ [2.0, -1.0, 0.5, 0, 1.0] + draw.randn(300) * 0.7, [0.5, 1.5, 2.5])
+    weight = draw.choice([0.5, 1.0], 300)
+    weights, thresholds = toxicity.fit_ordinal(x.astype(np.float32), grade, weight)
+    best = plain_likelihood(x, grade, weight, weights, thresholds)
+    for _ in range(200):
+        step = draw.randn(8) * draw.choice([1e-3, 1e-2, 0.1])
+        other = plain_likelihood(x, grade, weight, weights + step[:5], thresholds + step[5:])
+        assert np.isnan(other) or other <= best + 1e-4
+
+
+def test_chosen_words_are_those_of_greatest_chi_square(labelled):
+    docs, labels = labelled
+    rows = docs.join(labels, "doc_id").collect()
+    kept = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % toxicity.FOLDS]
+    held = [(set(re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r.text.encode().translate(LOWER))), r.toxic) for r in kept]
+    n, toxic = len(held), sum(t for _, t in held)
+    score = {}
+    for word in set().union(*(w for w, _ in held)):
+        df, both = sum(word in w for w, _ in held), sum(word in w and t for w, t in held)
+        expected = df * toxic / n
+        if df >= 3:
+            score[word] = (both - expected) ** 2 / (expected * (1 - toxic / n) * (1 - df / (n + 1)) + 1e-9)
+    known = toxicity._labelled_words(docs.join(labels, "doc_id").filter(
+        quality.fold(F.col("doc_id"), toxicity.FOLDS) != 0
+    ).selectExpr("doc_id", "text", "cast(toxic as double) label"))
+    words, cues = toxicity.choose_words(toxicity.word_stats(known), n, toxic, 12)
+    every = sorted(score)
+    data = b" ".join(every)
+    part = Texts(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    by_hash = dict(zip(part.words(WORD).hashes.tolist(), every))
+    # words may tie with the last one chosen
+    chosen = sorted((score[by_hash[h]] for h in words.tolist()), reverse=True)
+    assert np.allclose(chosen, sorted(score.values(), reverse=True)[:12], rtol=1e-6)
+    assert {by_hash[h] for h, cue in zip(words.tolist(), cues) if cue} >= {b"vile", b"nasty", b"awful"}
+
+
 def test_classifiers_take_odd_rows_and_empty_tables(spark, labelled, odd_docs, no_docs):
     docs, labels = labelled
     no_labels = spark.createDataFrame([], LABELS)

@@ -248,34 +248,62 @@ def bands(heads: DataFrame) -> DataFrame:
 
 
 def similarities(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
-    """a, b and the exact weighted Jaccard similarity of their texts."""
+    """a, b and the exact weighted Jaccard similarity of their texts.
+
+    The end of a pair that has more pairs is its centre. A centre's pairs are dealt into
+    blocks of some ``BLOCK``; its text goes to each block once, ahead of the others' texts,
+    which are compared with it as they come.
+    """
     sent = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = None
         for batch in (x.slice(k, PAIRS) for x in batches for k in range(0, x.num_rows, PAIRS)):
-            a, b = batch.column(0), batch.column(1)
-            # a document in many of these pairs is cut into shingles once
-            ids = pa.concat_arrays([a, b]).to_numpy()
-            distinct, at, back = np.unique(ids, return_index=True, return_inverse=True)
-            column = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(at))
             sets: list[tuple[np.ndarray, np.ndarray]] = []
-            for part in slices(column):
+            for part in slices(batch.column(2)):
                 rows, names, weight = shingles(document_words(part), sent.value)
                 cut = np.searchsorted(rows, np.arange(len(part) + 1))
                 sets += [(names[x:y], weight[x:y]) for x, y in zip(cut[:-1], cut[1:])]
-            n = batch.num_rows
-            value = [_weighted_jaccard(sets[i], sets[j]) for i, j in zip(back[:n], back[n:])]
+            found = []
+            others = batch.column(1).to_pylist()
+            for k, (of, other) in enumerate(zip(batch.column(0).to_pylist(), others)):
+                if other is None:
+                    centre = sets[k]
+                else:
+                    found.append((min(of, other), max(of, other), _weighted_jaccard(centre, sets[k])))
+            a, b, value = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [a, b, pa.array(value, pa.float64())], names=["a", "b", "similarity"]
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(value, pa.float64())],
+                names=["a", "b", "similarity"],
             )
 
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").count()
+    of_a = degree.select(F.col("id").alias("a"), F.col("count").alias("n_a"))
+    of_b = degree.select(F.col("id").alias("b"), F.col("count").alias("n_b"))
+    a_leads = F.col("n_a") >= F.col("n_b")
+    directed = (
+        pairs.select("a", "b")
+        .join(of_a, "a")
+        .join(of_b, "b")
+        .select(
+            F.when(a_leads, F.col("a")).otherwise(F.col("b")).alias("centre"),
+            F.when(a_leads, F.col("b")).otherwise(F.col("a")).alias("other"),
+            F.ceil(F.greatest("n_a", "n_b") / BLOCK).alias("blocks"),
+        )
+    )
+    block = F.pmod(F.xxhash64("other"), F.col("blocks")).alias("block")
+    directed = keep_table(directed.select("centre", "other", block), "directed-pairs")
     own = texts.select("id", "text")
-    joined = (
-        pairs.join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
+    others = directed.join(own, directed["other"] == own["id"]).drop("id")
+    centres = directed.select("centre", "block").distinct()
+    centres = centres.join(own, centres["centre"] == own["id"]).drop("id")
+    sent_texts = others.unionByName(centres.withColumn("other", F.lit(None).cast("long")))
+    in_blocks = (
+        sent_texts.repartition("centre", "block")
+        .sortWithinPartitions("centre", "block", F.col("other").asc_nulls_first())
+        .select("centre", "other", "text")
     )
-    return joined.mapInArrow(compare, "a long, b long, similarity double")
+    return in_blocks.mapInArrow(compare, "a long, b long, similarity double")
 
 
 def _weighted_jaccard(left, right) -> float:

@@ -20,8 +20,8 @@ that takes both to sampled ones. For 400 bytes that is 14 of 183 positions.
 4. *Compare adjacent.* Equal neighbours are repeats.
 
 The texts are dealt to groups by row, once for the sample and once for the other
-steps, which share that exchange; everything else that moves is packed numbers. Copies in
-one group send one name with a mark, and no step lists pairs of occurrences, so
+steps, which share that exchange; everything else that moves is packed numbers. The number
+of groups follows the bytes of text. Copies in one group send one name with a mark, and no step lists pairs of occurrences, so
 copies of any number cost one entry per group and step.
 
 Defined results: null is empty; texts shorter than ``length`` cannot repeat;
@@ -39,6 +39,8 @@ from playtrail.llm.stages import keep_table, partitions
 from playtrail.llm.textbytes import Texts, mix, slices
 
 LENGTH = 400
+#: Bytes of text in a group, in the mean; there are at least two groups for each shuffle partition.
+GROUP_BYTES = 1 << 26
 
 _SETTLED, _MERGED = 1, 2
 _MOVED = pa.schema([("to", pa.int32()), ("of", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -115,6 +117,9 @@ class Group:
         for part in slices(table.column("text")):
             self.parts.append((base, part))
             base += len(part.data)
+        # byte places travel as 32 bits
+        if base >= 1 << 32:
+            raise ValueError("A single text, or a group of them, has 4 GiB or more.")
 
     def samples(self, sampler: Sampler):
         """Positions, first leading positions and names of all samples, numbered through."""
@@ -161,7 +166,7 @@ _PACKED = 14
 
 def _pack(first, second, number, several) -> list[np.ndarray]:
     if len(number) and number[-1] >= 1 << 23:
-        raise ValueError("A group holds too much text; raise spark.sql.shuffle.partitions.")
+        raise ValueError("A group holds too much text; lower group_bytes.")
     mark = (number.astype(np.uint64) << np.uint64(1)) | several.astype(np.uint64)
     high = (first >> np.uint64(24) << np.uint64(24)) | (second >> np.uint64(40))
     low = ((second >> np.uint64(16)) & np.uint64(0xFFFFFF)) << np.uint64(8) | (mark >> np.uint64(16))
@@ -304,11 +309,19 @@ def answer(group: Group, table: pa.Table, length: int) -> pa.Table:
 
 
 def repeated_bytes(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
-    """Per document: id, n_bytes, spans of repeated bytes, and the bytes kept."""
-    parts = partitions(docs.sparkSession)
-    groups, buckets = 2 * parts, parts
+    """Per document: id, n_bytes, spans of repeated bytes, and the bytes kept.
+
+    The number of groups follows the bytes of text, so that what a task holds does not.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0]
+    groups = max(2 * partitions(docs.sparkSession), -(-(size or 0) // group_bytes))
+    buckets = -(-groups // 2)
     dealt = (
         docs.select(
             F.col(id_col).cast("long").alias("id"),

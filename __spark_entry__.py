@@ -91,12 +91,12 @@ def _from_sessionized(query: Callable[[DataFrame], DataFrame], how: str = "table
 
 def _events_of_longest(numbered: DataFrame) -> DataFrame:
     chosen = longest_sessions(session_metrics(numbered), SESSIONS)
-    return events_of_sessions(numbered, chosen, at_most=SESSIONS)
+    return events_of_sessions(numbered, chosen)
 
 
 def _counts_by_id(numbered: DataFrame) -> DataFrame:
     chosen = longest_sessions(session_metrics(numbered), SESSIONS)
-    return songs_in_sessions(numbered, chosen, other_cols=SONG_BY_ID[1:], at_most=SESSIONS)
+    return songs_in_sessions(numbered, chosen, other_cols=SONG_BY_ID[1:])
 
 
 def _counts_by_name(events: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ from playtrail.columns import (
 from playtrail.functions.timing import utc_day
 from playtrail.validate import require_columns, require_row_count
 
-# Number of chosen sessions up to which their keys are sent to every task.
+# Number of chosen sessions up to which their keys are sent to every task, where the plan
+# itself bounds it, as a limit does.
 MAX_BROADCAST_SESSIONS = 100_000
 
 
@@ -41,20 +42,25 @@ def with_song_id(events: DataFrame, song_id: str = TRACK_ID) -> DataFrame:
     return events.filter(F.col(song_id).isNotNull())
 
 
+def _most_rows(df: DataFrame) -> int | None:
+    """The number of rows that a plan cannot exceed, if it has such a bound."""
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return bound.get() if bound.isDefined() else None
+
+
 def events_of_sessions(
     events_with_sessions: DataFrame,
     chosen: DataFrame,
     keys: Sequence[str] = SESSION_KEY,
-    at_most: int | None = None,
 ) -> DataFrame:
     """Events whose session is among ``chosen``; null keys match nothing.
 
-    ``at_most`` is the number of chosen sessions where the caller knows it. It
-    makes them a broadcast side if small enough; otherwise Spark decides from
-    the sizes it sees.
+    Chosen sessions are a broadcast side if their plan shows them to be few enough;
+    otherwise Spark decides from the sizes it meets.
     """
     wanted = chosen.select(*keys)
-    if at_most is not None and at_most <= MAX_BROADCAST_SESSIONS:
+    bound = _most_rows(wanted)
+    if bound is not None and bound <= MAX_BROADCAST_SESSIONS:
         wanted = F.broadcast(wanted)
     return events_with_sessions.join(wanted, list(keys), "left_semi")
 
@@ -132,13 +138,10 @@ def songs_in_sessions(
     song_id: str = TRACK_ID,
     keys: Sequence[str] = SESSION_KEY,
     other_cols: Sequence[str] = (),
-    at_most: int | None = None,
 ) -> DataFrame:
     """Play counts of the identified songs inside the chosen sessions."""
     played = with_song_id(events_with_sessions, song_id)
-    return song_counts(
-        events_of_sessions(played, chosen, keys, at_most), [song_id, *other_cols]
-    )
+    return song_counts(events_of_sessions(played, chosen, keys), [song_id, *other_cols])
 
 
 def top_songs(counts: DataFrame, n: int, identity: Sequence[str] = SONG_BY_ID) -> DataFrame:

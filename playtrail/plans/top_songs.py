@@ -60,7 +60,6 @@ def top_songs_of_sessionized(
         song_id=SONG_BY_ID[0],
         keys=SESSION_KEY,
         other_cols=SONG_BY_ID[1:],
-        at_most=session_number,
     )
     return top_songs(counts, song_number).select(*SONG_BY_ID)
 
@@ -107,9 +106,8 @@ def run_session_reports(
         sessions = scratch.keep(session_metrics(numbered), how, "sessions")
         sessions.write.mode("overwrite").parquet(paths["sessions"])
         chosen = longest_sessions(sessions, session_number)
-        events_of_sessions(numbered, chosen, at_most=session_number).write.mode(
-            "overwrite"
-        ).parquet(paths["events"])
+        chosen_events = events_of_sessions(numbered, chosen)
+        chosen_events.write.mode("overwrite").parquet(paths["events"])
         ranked = top_songs_of_sessionized(numbered, sessions, session_number, song_number)
         write_tsv(ranked, paths["songs"], single_file=True)
     return paths

@@ -62,7 +62,6 @@ def counted(events, sessions, songs):
         sessionize(events),
         longest_sessions(session_table(events), sessions),
         other_cols=SONG_BY_ID[1:],
-        at_most=sessions,
     )
     return [tuple(r) for r in top_songs(counts, songs).collect()]
 
@@ -157,7 +156,7 @@ def test_null_user_sessions_take_places_but_have_no_songs(spark):
 @pytest.mark.parametrize("number", [3, 20, 10_000])
 def test_spans_and_keys_choose_the_same_events(odd_events, number):
     chosen = longest_sessions(session_table(odd_events), number)
-    by_key = events_of_sessions(sessionize(odd_events), chosen, at_most=number)
+    by_key = events_of_sessions(sessionize(odd_events), chosen)
     by_span = events_within(odd_events, chosen)
     ours, theirs = by_span, by_key.select(*by_span.columns)
     assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
@@ -190,10 +189,10 @@ def test_day_partitions_outside_the_chosen_sessions_are_not_read(spark, odd_even
 
 
 def test_only_bounded_sides_are_broadcast(odd_events):
-    chosen = session_table(odd_events)
-    hinted = events_of_sessions(sessionize(odd_events), chosen, at_most=5)
-    unknown = events_of_sessions(sessionize(odd_events), chosen)
-    beyond = events_of_sessions(sessionize(odd_events), chosen, at_most=10_000_000)
+    sessions = session_table(odd_events)
+    hinted = events_of_sessions(sessionize(odd_events), longest_sessions(sessions, 5))
+    unknown = events_of_sessions(sessionize(odd_events), sessions)
+    beyond = events_of_sessions(sessionize(odd_events), longest_sessions(sessions, 10_000_000))
     hints = [df._jdf.queryExecution().logical().toString().count("broadcast") for df in (hinted, unknown, beyond)]
     assert hints[0] == hints[1] + 1 and hints[1] == hints[2]
 

@@ -301,23 +301,6 @@ def test_samples_agree_as_often_as_weighted_sets_overlap():
     assert abs((drawn[0] == drawn[1]).mean() - true) < 0.09
 
 
-def test_a_centre_of_many_pairs_is_compared_with_all_of_them(spark, monkeypatch):
-    monkeypatch.setattr(near_duplicates, "BLOCK", 7)
-    monkeypatch.setattr(near_duplicates, "PAIRS", 5)
-    texts = [(i, prose(400, 30) + prose(500 + i % 9, 1 + i % 25)) for i in range(60)]
-    pairs = [(0, i) for i in range(1, 60)] + [(i, 59) for i in range(1, 30)] + [(40, 41), (2, 3)]
-    docs = spark.createDataFrame(texts, DOCS)
-    weights = near_duplicates.word_weights(docs)
-    found = near_duplicates.similarities(
-        spark.createDataFrame(pairs, "a long, b long"), docs.withColumnRenamed("doc_id", "id"), weights
-    ).collect()
-    df = Counter(w for _, t in texts for w in set(WORDS.findall(lowered(t))))
-    plain = {w: math.log1p(len(texts) / n) for w, n in df.items()}
-    assert sorted((r.a, r.b) for r in found) == sorted(pairs)
-    for r in found:
-        assert abs(r.similarity - plain_similarity(texts[r.a][1], texts[r.b][1], plain)) < 1e-3
-
-
 def test_the_screen_of_left_pairs_knows_weights():
     # 46 heavy shingles in both texts, 10 light ones on either side: weighted 0.85, unweighted 0.70
     names = near_duplicates.mix(np.arange(1, 67, dtype=np.uint64))

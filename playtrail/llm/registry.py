@@ -220,7 +220,34 @@ _QUERIES: dict[str, Query] = {
     "op13_spelling": op13_spelling,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: What SQL can express: the digests of the turns and of the learned text, and the length that
+#: the template gives. Marks of a block take 12 characters besides the role, a join takes 3.
+_CHAT_SQL = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL
+    SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok'
+    FROM range(2) AS r(n)
+),
+e AS (
+    SELECT *, length(replace(replace(replace(text, '\', '\b'), '<', '\l'), '|', '\p')) AS n_text,
+           length(replace(replace(replace(role, '\', '\b'), '<', '\l'), '|', '\p')) AS n_role,
+           lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+               IS DISTINCT FROM role AS opens
+    FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (sum(n_text) + sum(CASE WHEN opens THEN 12 + n_role ELSE 3 END))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_chat_formatting": _CHAT_SQL}
 
 
 def _on_workers(query: Query) -> Query:

@@ -316,3 +316,22 @@ def test_registered_queries_return_their_rows(spark, name):
         assert (planted.n_turns, planted.loss_chars) == (2, len(text))
     else:
         assert result.count() == n.count()
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_query_matches_sql(spark, tmp_path, name):
+    duckdb = pytest.importorskip("duckdb")
+    turns = spark.read.parquet(f"{DATA}/conversations.parquet")
+    odd = [(9001, 0, "user", None), (9001, 1, None, "a|b<\\c"), (9001, 1, "assistant", "é😀\n"), (9001, None, "assistant", ""),
+           (None, 3, "assistant", "x"), (9002, 0, "us|er", "<|end|>"), (9002, 1, "us|er", "\\l")]
+    more = spark.createDataFrame(odd, "conv_id long, turn long, role string, text string")
+    turns.select(more.columns).unionByName(more).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    found, wanted = registry.QUERIES[name](spark, str(tmp_path)), con.sql(registry.ORACLE_SQL[name])
+    assert sorted(found.columns) == sorted(wanted.columns)
+    theirs = [dict(zip(wanted.columns, row)) for row in wanted.fetchall()]
+    key = str
+    assert sorted((str(sorted(r.asDict().items())) for r in found.collect()), key=key) == sorted(
+        (str(sorted(r.items())) for r in theirs), key=key
+    )

@@ -333,7 +333,7 @@ _ON_EVENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "sessionize_60m": lambda e: sessionize(e, 60),
     "sessionize_6h": lambda e: sessionize(e, 6 * 60),
     "sessionize_24h": lambda e: sessionize(e, 24 * 60),
-    "sessionize_hot_cells": lambda e: sessionize(e, 6 * 60, parts=64),
+    "sessionize_hot_cells": lambda e: sessionize(e, 6 * 60, parts=32),
     "sessionize_clustered": _clustered(clustered.sessionize_stored),
     "sessionize_clustered_6h": _clustered(lambda s: clustered.sessionize_stored(s, 6 * 60)),
     "session_table_clustered": _clustered(clustered.session_table_stored),

@@ -31,6 +31,18 @@ def test_approximate_distinct(events):
     assert tuple(profile.approx_distinct(events).first()) == (2, 7, 4, 4, 4, 3)
 
 
+def test_check_groups_distinct_values_without_sketches(spark):
+    rows = [(k % 7 or None, f"v{k % 300}", None) for k in range(900)]
+    df = spark.createDataFrame(rows, "few int, many string, none int")
+    checked = profile.approx_distinct_check(df)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    sketching = [line for line in plan.splitlines() if "approx_count_distinct" in line and "keys=" in line]
+    assert sketching and all("keys=[]" in line for line in sketching)
+    assert [tuple(r) for r in checked.collect()] == [("few", 6, True), ("many", 300, True), ("none", 0, True)]
+    nothing = profile.approx_distinct_check(df.filter("false")).collect()
+    assert [tuple(r) for r in nothing] == [("few", 0, True), ("many", 0, True), ("none", 0, True)]
+
+
 def test_track_ids_per_song(events):
     assert [tuple(r) for r in profile.track_ids_per_song(events).collect()] == [
         ("song-name-4", "artist-name-4", 2),

@@ -84,16 +84,18 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    removed = F.aggregate(
-        "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
-    )
+    def covered(spans: str) -> Column:
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
     return suffixes.repeated_bytes(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
         "n_bytes",
-        removed.alias("n_removed"),
+        covered("spans").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
         (F.size("spans") > 0).alias("has_repeats"),
+        covered("passages").alias("n_passage_bytes"),
+        (F.size("passages") > 0).alias("has_passages"),
     )
 
 

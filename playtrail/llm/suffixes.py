@@ -24,6 +24,10 @@ steps, which share that exchange; everything else that moves is packed numbers.
 of groups follows the bytes of text. Copies in one group send one name with a mark, and no step lists pairs of occurrences, so
 copies of any number cost one entry per group and step.
 
+Passages are found by the same steps over words in place of bytes: strings of
+``passage_words`` words that another row holds too. What blanks separate the words
+plays no part. Only the bytes repeated by the first rule are removed.
+
 Defined results: null is empty; texts shorter than ``length`` cannot repeat;
 matches never cross documents; repeated rows are copies of each other and each
 returns a row. Only the id and the text are read. Row numbers come from the scan,
@@ -36,20 +40,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.llm.stages import keep_table, partitions
-from playtrail.llm.textbytes import Texts, mix, slices
+from playtrail.llm.textbytes import UNBLANK, Hasher, Texts, Words, mix, slices
 
 LENGTH = 400
+#: Words of a passage: over 50.
+PASSAGE_WORDS = 51
 #: Bytes of text in a group, in the mean; there are at least two groups for each shuffle partition.
 GROUP_BYTES = 1 << 26
 
 _SETTLED, _MERGED = 1, 2
+#: Kinds of what moves: intervals and places, of bytes and of words.
+_BYTES, _WORDS = 0, 2
+#: Owner of a string that is known to lie in several rows.
+_ANYONE = np.uint32(0xFFFFFFFF)
 _MOVED = pa.schema([("to", pa.int32()), ("of", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 _MOVED_SQL = "to int, of int, kind int, data binary"
 _FOUND = pa.schema(
     [("id", pa.int64()), ("n_bytes", pa.int64()),
-     ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]
+     ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()),
+     ("passages", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
 )
-_FOUND_SQL = "id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary"
+_FOUND_SQL = (
+    "id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary, "
+    "passages array<struct<start:bigint,end:bigint>>"
+)
 
 
 def singer_cover(q: int) -> tuple[int, np.ndarray]:
@@ -72,18 +86,30 @@ def singer_cover(q: int) -> tuple[int, np.ndarray]:
     raise ValueError(f"{q} is no prime")
 
 
-def cover_for(length: int) -> tuple[int, np.ndarray]:
+def cover_for(length: int, most: int | None = None) -> tuple[int, np.ndarray]:
+    most = most or max(length // 2, min(length, 7))
     primes = [q for q in range(2, 98) if all(q % p for p in range(2, q))]
-    fits = [q for q in primes if q * q + q + 1 <= max(length // 2, min(length, 7))]
+    fits = [q for q in primes if q * q + q + 1 <= most]
     return singer_cover(fits[-1]) if fits else (1, np.zeros(1, np.int64))
 
 
+class Tokens(Texts):
+    """The words of some texts in place of their bytes."""
+
+    def __init__(self, words: Words, first_row: int):
+        super().__init__(words.hashes, words.first, first_row)
+
+    def hasher(self) -> Hasher:
+        return Hasher(self.data)
+
+
 class Sampler:
     """Sampled positions of texts and their two names."""
 
-    def __init__(self, length: int):
-        self.length = length
-        self.modulus, self.cover = cover_for(length)
+    def __init__(self, length: int, kind: int = _BYTES):
+        self.length, self.kind = length, kind
+        # words are few and tell more than bytes, so fewer of them are sampled
+        self.modulus, self.cover = cover_for(length, 2 * length // 3 if kind == _WORDS else None)
         self.width = length - self.modulus + 1
 
     def positions(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -97,24 +123,26 @@ class Sampler:
         inner = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
         return part.bounds[rows] + pattern[inner], rows
 
-    def names(self, part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Positions; first position that leads to each; first and second names."""
+    def names(self, part: Texts) -> tuple[np.ndarray, ...]:
+        """Positions; first position that leads to each; first and second names; rows."""
         at, rows = self.positions(part)
         hashed = part.hasher()
         from_ = np.maximum(at - self.modulus + 1, part.bounds[rows])
         to = np.minimum(at + self.width + self.modulus - 1, part.bounds[rows + 1])
         second = mix(hashed(from_, to) + (at - from_).astype(np.uint64))
-        return at, from_, hashed(at, at + self.width), second
+        return at, from_, hashed(at, at + self.width), second, rows + part.first_row
 
 
 class Group:
-    """The texts of one group in the order of their rows, in slices with their byte offsets."""
+    """The texts of one group in the order of their rows, in slices with their byte (or word) offsets."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, kind: int = _BYTES):
         table = table.sort_by("row")
         self.ids = table.column("id").combine_chunks()
         self.parts, base = [], 0
         for part in slices(table.column("text")):
+            if kind == _WORDS:
+                part = Tokens(part.words(UNBLANK), part.first_row)
             self.parts.append((base, part))
             base += len(part.data)
         # byte places travel as 32 bits
@@ -122,16 +150,20 @@ class Group:
             raise ValueError("A single text, or a group of them, has 4 GiB or more.")
 
     def samples(self, sampler: Sampler):
-        """Positions, first leading positions and names of all samples, numbered through."""
-        found = [[base + at, base + from_, n, m] for base, part in self.parts
-                 for at, from_, n, m in [sampler.names(part)]]
+        """Positions, first leading positions, names and owners of all samples, numbered through.
+
+        Two samples repeat if their owners differ: of bytes each sample is its own, of words its row is.
+        """
+        found = [[base + at, base + from_, n, m, rows] for base, part in self.parts
+                 for at, from_, n, m, rows in [sampler.names(part)]]
         if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        return tuple(np.concatenate(x) for x in zip(*found))
+            return *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, np.uint64),) * 2, np.zeros(0, np.int64)
+        *named, rows = (np.concatenate(x) for x in zip(*found))
+        return *named, rows if sampler.kind == _WORDS else np.arange(len(rows))
 
 
 def distinct(first: np.ndarray, second: np.ndarray):
-    """Of pairs of names: one index for each distinct pair, the pair of each index, counts."""
+    """Of pairs of names: first and last index of each distinct pair, the pair of each index."""
     order = np.lexsort((second, first))
     new = np.ones(len(order), bool)
     new[1:] = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
@@ -139,7 +171,7 @@ def distinct(first: np.ndarray, second: np.ndarray):
     pair = np.empty(len(order), np.int64)
     pair[order] = number
     starts = np.flatnonzero(new)
-    return order[starts], pair, np.diff(np.append(starts, len(order)))
+    return order[starts], order[np.append(starts[1:], len(order))[: len(starts)] - 1], pair
 
 
 def _dealt(keys: np.ndarray, buckets: int, of: int, kind: int, arrays: list[np.ndarray]) -> list:
@@ -160,7 +192,7 @@ def _table(rows: list) -> pa.Table:
 
 
 #: A packed name has 40 bits of the first name, 48 of the second, 23 for its number
-#: and one that says it stands for several samples of its group.
+#: and one that says it stands for samples of several owners in its group.
 _PACKED = 14
 
 
@@ -185,7 +217,7 @@ def _unpack(data: list[bytes]):
     return high, low >> np.uint32(8), mark >> 1, (mark & 1).astype(bool)
 
 
-def sort_names(table: pa.Table, length: int) -> pa.Table:
+def sort_names(table: pa.Table, kind: int) -> pa.Table:
     """Steps 1 and 2 for one bucket of names: what is settled, and who represents what is not."""
     data = table.column("data").to_pylist()
     high, low, number, several = _unpack(data)
@@ -208,34 +240,52 @@ def sort_names(table: pa.Table, length: int) -> pa.Table:
     cut = np.searchsorted(to[by], np.arange(len(data) + 1))
     groups = table.column("of").to_pylist()
     return _table(
-        [(g, g, 0, value[by[a:b]].tobytes()) for g, a, b in zip(groups, cut[:-1], cut[1:]) if b > a]
+        [(g, g, kind, value[by[a:b]].tobytes()) for g, a, b in zip(groups, cut[:-1], cut[1:]) if b > a]
     )
 
 
-def sort_whole(table: pa.Table, length: int) -> pa.Table:
+def sort_whole(table: pa.Table) -> pa.Table:
     """Steps 3 and 4 for one bucket of positions: those whose whole string occurs again."""
     kind = np.array(table.column("kind").to_pylist())
     data, groups = table.column("data").to_pylist(), table.column("of").to_pylist()
-    rows = [(g, g, 0, d) for g, d, k in zip(groups, data, kind) if k == 0]
-    own = np.flatnonzero(kind == 1)
-    if len(own):
-        n = [len(data[i]) // 12 for i in own]
+    rows = [(g, g, int(k), d) for g, d, k in zip(groups, data, kind) if k in (_BYTES, _WORDS)]
+    for of, size in ((_BYTES, 12), (_WORDS, 16)):
+        own = np.flatnonzero(kind == of + 1)
+        if not len(own):
+            continue
+        n = [len(data[i]) // size for i in own]
         names = np.concatenate([np.frombuffer(data[i], np.uint64, k) for i, k in zip(own, n)])
         at = np.concatenate([np.frombuffer(data[i], np.uint32, k, 8 * k) for i, k in zip(own, n)])
         source = np.repeat(np.arange(len(own)), n)
-        order = np.argsort(names, kind="stable")
-        same = names[order[1:]] == names[order[:-1]]
-        again = np.zeros(len(order), bool)
-        again[order[1:]] |= same
-        again[order[:-1]] |= same
+        if of == _BYTES:
+            order = np.argsort(names, kind="stable")
+            same = names[order[1:]] == names[order[:-1]]
+            again = np.zeros(len(order), bool)
+            again[order[1:]] |= same
+            again[order[:-1]] |= same
+        else:
+            owner = np.concatenate([np.frombuffer(data[i], np.uint32, k, 12 * k) for i, k in zip(own, n)])
+            again = _of_several(names, np.array(groups, np.uint64)[own][source], owner)
         hit = np.flatnonzero(again)
         cut = np.searchsorted(source[hit], np.arange(len(own) + 1))
         for k, i in enumerate(own):
             if cut[k + 1] > cut[k]:
-                rows.append((groups[i], groups[i], 1, at[hit[cut[k] : cut[k + 1]]].tobytes()))
+                rows.append((groups[i], groups[i], of + 1, at[hit[cut[k] : cut[k + 1]]].tobytes()))
     return _table(rows)
 
 
+def _of_several(names: np.ndarray, group: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which names have several owners; an owner is a row of its group, or anyone."""
+    owner = np.where(owner == _ANYONE, ~np.uint64(0), group << np.uint64(32) | owner)
+    order = np.lexsort((owner, names))
+    new = np.append(True, names[order[1:]] != names[order[:-1]])
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(order)) - 1
+    out = np.empty(len(order), bool)
+    out[order] = (owner[order[starts]] != owner[order[ends]])[np.cumsum(new) - 1]
+    return out
+
+
 def _marked(size: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Which of ``size`` positions lie in some [start, end)."""
     edge = np.bincount(start, minlength=size + 1) - np.bincount(end, minlength=size + 1)
@@ -249,12 +299,15 @@ def _flags(table: pa.Table, kind: int, dtype=np.uint32) -> np.ndarray:
 
 def merge(group: Group, told: np.ndarray, of: int, sampler: Sampler, buckets: int) -> list:
     """Positions settled by step 2, as intervals, and those that step 3 has to sort."""
-    at, from_, first, second = group.samples(sampler)
-    one, pair, _ = distinct(first, second)
+    at, from_, first, second, _ = group.samples(sampler)
+    one, _, pair = distinct(first, second)
     flags = np.zeros(len(one), np.uint32)
     flags[told >> 2] = told & 3
     settled = np.flatnonzero(flags[pair] & _SETTLED)
     merged = np.sort(one[flags & _MERGED > 0])
+    if sampler.kind == _WORDS:
+        # samples of one row that share their names are not settled by each other
+        merged = np.union1d(merged, np.flatnonzero(flags[pair] == _MERGED))
     rows, marks = [], []
     for base, part in group.parts:
         size = len(part.data)
@@ -275,26 +328,54 @@ def merge(group: Group, told: np.ndarray, of: int, sampler: Sampler, buckets: in
         places = np.flatnonzero(leading(merged))
         if len(places):
             whole = part.hasher()(places, places + sampler.length)
-            rows += _dealt(whole, buckets, of, 1, [whole, (places + base).astype(np.uint32)])
+            arrays = [whole, (places + base).astype(np.uint32)]
+            if sampler.kind == _WORDS:
+                row = (part.row_of(places) + part.first_row).astype(np.uint32)
+                arrays.append(np.where(inside[places], _ANYONE, row))
+            rows += _dealt(whole, buckets, of, sampler.kind + 1, arrays)
     marks = np.concatenate(marks) if marks else np.zeros(0, np.uint32)
     if len(marks):
-        rows.append((of % buckets, of, 0, marks.tobytes()))
+        rows.append((of % buckets, of, sampler.kind, marks.tobytes()))
     return rows
 
 
-def answer(group: Group, table: pa.Table, length: int) -> pa.Table:
-    """Spans of repeated bytes and what is kept, for every text of a group."""
-    settled = _flags(table, 0).astype(np.int64).reshape(-1, 2)
-    places = _flags(table, 1).astype(np.int64)
+def _covered(table: pa.Table, sampler: Sampler):
+    """A function that tells which of the symbols [base, base + size) of a group lie in repeats."""
+    settled = _flags(table, sampler.kind).astype(np.int64).reshape(-1, 2)
+    places = _flags(table, sampler.kind + 1).astype(np.int64)
     start = np.concatenate([settled[:, 0], places])
-    end = np.concatenate([settled[:, 1], places + 1]) + length - 1
+    end = np.concatenate([settled[:, 1], places + 1]) + sampler.length - 1
     order = np.argsort(start)
     start, end = start[order], end[order]
-    sizes, spans, kept = [], [], []
-    for base, part in group.parts:
-        size = len(part.data)
+
+    def covered(base: int, size: int) -> np.ndarray:
         a, b = np.searchsorted(start, [base, base + size])
-        gone = _marked(size, start[a:b] - base, np.minimum(end[a:b] - base, size))
+        return _marked(size, start[a:b] - base, np.minimum(end[a:b] - base, size))
+
+    return covered
+
+
+def _passages(part: Texts, words: Words, inside: np.ndarray) -> list:
+    """Byte spans of the maximal runs of words inside repeats, for each text."""
+    first = np.zeros(len(inside) + 1, bool)
+    first[words.first] = True
+    before = np.append(False, inside[:-1])
+    after = np.append(inside[1:], False)
+    one = np.flatnonzero(inside & (first[:-1] | ~before))
+    last = np.flatnonzero(inside & (first[1:] | ~after))
+    row = np.searchsorted(words.first, one, side="right") - 1
+    start, end = words.starts[one] - part.bounds[row], words.ends[last] - part.bounds[row]
+    runs = [{"start": s, "end": e} for s, e in zip(start.tolist(), end.tolist())]
+    cut = np.searchsorted(row, np.arange(len(part) + 1)).tolist()
+    return [runs[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+
+def answer(group: Group, table: pa.Table, sampler: Sampler, words_sampler: Sampler) -> pa.Table:
+    """Spans of repeated bytes, what is kept, and passages, for every text of a group."""
+    covered, in_passages = _covered(table, sampler), _covered(table, words_sampler)
+    sizes, spans, kept, passages, words_before = [], [], [], [], 0
+    for base, part in group.parts:
+        gone = covered(base, len(part.data))
         for k in range(len(part)):
             x, y = int(part.bounds[k]), int(part.bounds[k + 1])
             own = gone[x:y]
@@ -303,8 +384,11 @@ def answer(group: Group, table: pa.Table, length: int) -> pa.Table:
             spans.append([{"start": s, "end": e} for s, e in runs])
             kept.append(part.data[x:y][~own].tobytes())
             sizes.append(y - x)
+        words = part.words(UNBLANK)
+        passages += _passages(part, words, in_passages(words_before, len(words)))
+        words_before += len(words)
     arrays = [group.ids, pa.array(sizes, pa.int64()), pa.array(spans, _FOUND.field(2).type),
-              pa.array(kept, pa.binary())]
+              pa.array(kept, pa.binary()), pa.array(passages, _FOUND.field(4).type)]
     return pa.Table.from_arrays(arrays, schema=_FOUND)
 
 
@@ -314,10 +398,12 @@ def repeated_bytes(
     id_col: str = "doc_id",
     text_col: str = "text",
     group_bytes: int = GROUP_BYTES,
+    passage_words: int = PASSAGE_WORDS,
 ) -> DataFrame:
-    """Per document: id, n_bytes, spans of repeated bytes, and the bytes kept.
+    """Per document: id, n_bytes, spans of repeated bytes, the bytes kept, and passages.
 
-    The number of groups follows the bytes of text, so that what a task holds does not.
+    ``passages`` are the byte spans covered by ``passage_words`` words in a row that
+    another row holds too; words are runs without a blank of ASCII. They are only told, not removed. The number of groups follows the bytes of text, so that what a task holds does not.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0]
     groups = max(2 * partitions(docs.sparkSession), -(-(size or 0) // group_bytes))
@@ -332,27 +418,33 @@ def repeated_bytes(
         .repartition("of")
     )
 
-    def sample(table: pa.Table) -> pa.Table:
-        of = table.column("of")[0].as_py()
-        _, _, first, second = Group(table).samples(Sampler(length))
-        one, _, count = distinct(first, second)
-        # low bits choose the bucket, high bits go with the entry
-        arrays = _pack(first[one], second[one], np.arange(len(one)), count > 1)
-        return _table(_dealt(first[one], buckets, of, 0, arrays))
+    samplers = Sampler(length), Sampler(passage_words, _WORDS)
+
+    def named(sampler: Sampler) -> DataFrame:
+        def sample(table: pa.Table) -> pa.Table:
+            of = table.column("of")[0].as_py()
+            _, _, first, second, owner = Group(table, sampler.kind).samples(sampler)
+            one, last, _ = distinct(first, second)
+            # low bits choose the bucket, high bits go with the entry
+            arrays = _pack(first[one], second[one], np.arange(len(one)), owner[one] != owner[last])
+            return _table(_dealt(first[one], buckets, of, 0, arrays))
+
+        names = dealt.groupBy("of").applyInArrow(sample, _MOVED_SQL)
+        told = names.groupBy("to").applyInArrow(lambda t: sort_names(t, sampler.kind), _MOVED_SQL)
+        # names are by far the most that moves; once written, their shuffle files can go
+        return keep_table(told, "names")
 
     def spread(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _table([])
         of = left.column("of")[0].as_py()
-        return _table(merge(Group(left), _flags(right, 0), of, Sampler(length), buckets))
+        return _table([row for s in samplers
+                       for row in merge(Group(left, s.kind), _flags(right, s.kind), of, s, buckets)])
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        return answer(Group(left), right, length)
+        return answer(Group(left), right, *samplers)
 
-    names = dealt.groupBy("of").applyInArrow(sample, _MOVED_SQL)
-    told = names.groupBy("to").applyInArrow(lambda t: sort_names(t, length), _MOVED_SQL)
-    # names are by far the most that moves; once written, their shuffle files can go
-    told = keep_table(told, "names")
+    told = named(samplers[0]).unionByName(named(samplers[1]))
     rest = dealt.groupBy("of").cogroup(told.groupBy("of")).applyInArrow(spread, _MOVED_SQL)
-    found = rest.groupBy("to").applyInArrow(lambda t: sort_whole(t, length), _MOVED_SQL)
+    found = rest.groupBy("to").applyInArrow(sort_whole, _MOVED_SQL)
     return dealt.groupBy("of").cogroup(found.groupBy("of")).applyInArrow(finish, _FOUND_SQL)

@@ -76,6 +76,61 @@ def test_repeated_bytes_of_odd_rows(odd_docs, no_docs):
     assert found_repeats(no_docs, 400) == []
 
 
+def plain_passages(texts, size):
+    """Byte spans covered by ``size`` words in a row that another text holds too."""
+    found = [list(TOKENS.finditer(t)) for t in texts]
+    words = [[m.group() for m in w] for w in found]
+    holders = defaultdict(set)
+    for row, w in enumerate(words):
+        for i in range(len(w) - size + 1):
+            holders[tuple(w[i : i + size])].add(row)
+    out = []
+    for w, at in zip(words, found):
+        hit = [False] * len(w)
+        for i in range(len(w) - size + 1):
+            if len(holders[tuple(w[i : i + size])]) > 1:
+                hit[i : i + size] = [True] * size
+        first = [i for i in range(len(w)) if hit[i] and not (i and hit[i - 1])]
+        last = [i for i in range(len(w)) if hit[i] and not (i + 1 < len(w) and hit[i + 1])]
+        out.append([(at[a].start(), at[b].end()) for a, b in zip(first, last)])
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 4, 12, 20, 51])
+def test_passages_match_brute_force(spark, size):
+    passage, line, own = prose(11, size + 3), prose(12, size), prose(13, size + 1)
+    texts = [prose(20 + i, 30 + i) for i in range(30)]
+    texts += [f"{prose(60 + i, 9 * i)}{passage}{prose(80 + i, 20)}" for i in range(5)]
+    texts += ["  ".join(passage.split()), passage.strip() + "x", " ".join(passage.split()[1:-1])]
+    texts += [texts[0], None, "", " \n ", "a " * 300, "a " * 200, "é " * 300, (own + line) * 3]
+    # a row that holds a string twice, itself or among others, with other rows or alone
+    texts += [f"{line}{prose(90 + i, 5)}{line}{prose(95 + i, 70)}" for i in range(3)]
+    texts += [f"{own} {prose(99, 60)} {own} {prose(98, 60)} {own}"]
+    # many names with several second names
+    few = np.random.default_rng(size)
+    texts += [" ".join(few.choice(["a", "b"], n)) for n in few.integers(10, 80, 60)]
+    rows = list(enumerate(texts)) * (2 if size == 20 else 1)
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    plain = plain_passages([(t or "").encode() for _, t in rows], size)
+    wanted = sorted((d, p) for (d, _), p in zip(rows, plain))
+    for group_bytes in (suffixes.GROUP_BYTES, 700):
+        found = suffixes.repeated_bytes(docs, group_bytes=group_bytes, passage_words=size).collect()
+        assert sorted((r.id, [(p.start, p.end) for p in r.passages]) for r in found) == wanted
+
+
+def test_a_passage_in_one_row_alone_is_none(spark):
+    twice = prose(5, 60)
+    alone = [(1, f"{twice}{prose(6, 80)}{twice}"), (2, prose(7, 90))]
+    found = suffixes.repeated_bytes(spark.createDataFrame(alone, DOCS)).collect()
+    assert [r.passages for r in found] == [[], []]
+    # below 400 bytes: told and not removed
+    short = " ".join(["as"] * 20 + ["we"] * 20 + ["do"] * 20)
+    rows = [(1, f"{prose(8, 30)} {short} {prose(9, 30)}"), (2, f"{prose(10, 40)} {short}")]
+    found = suffixes.repeated_bytes(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.id, len(r.spans), r.passages[0].end - r.passages[0].start) for r in found) == [
+        (1, 0, len(short)), (2, 0, len(short))]
+
+
 def test_difference_cover_reaches_every_shift():
     for q in (2, 3, 5, 7, 13):
         modulus, cover = suffixes.singer_cover(q)
